@@ -80,10 +80,10 @@ _NULLS = """select 'id' as "column", count_if(id is null) as null_cnt from vac
 
 
 @query("a6_null_counts", f"""with {VAC}
-select count_if(id is null) as id, count_if(schedule_id is null) as schedule,
-  count_if(accept_temporary is null) as accept_temporary, count_if(salary_from is null) as salary,
-  count_if(employment_form_id is null) as employment_form,
-  count_if(work_format_ids is null) as work_format, count_if(role_ids is null) as professional_roles,
+select count_if(id is null)::bigint as id, count_if(schedule_id is null)::bigint as schedule,
+  count_if(accept_temporary is null)::bigint as accept_temporary, count_if(salary_from is null)::bigint as salary,
+  count_if(employment_form_id is null)::bigint as employment_form,
+  count_if(work_format_ids is null)::bigint as work_format, count_if(role_ids is null)::bigint as professional_roles,
   cast(0 as bigint) as relations from vac""")
 def a6(spark, sf):
     return null_counts(vacancies(spark, sf).select(*PROFILED))
@@ -145,12 +145,11 @@ def a11_max(spark, sf):
 
 
 @query("a11_exact_quantiles", """select 'l_extendedprice' as "column", p as prob,
-  case p when 0.05 then quantile_cont(l_extendedprice, 0.05) when 0.5 then quantile_cont(l_extendedprice, 0.5)
-  else quantile_cont(l_extendedprice, 0.95) end as value
+  round(case p when 0.05 then quantile_cont(l_extendedprice, 0.05) when 0.5 then quantile_cont(l_extendedprice, 0.5)
+  else quantile_cont(l_extendedprice, 0.95) end, 6) as value
 from lineitem, (select unnest([0.05, 0.5, 0.95]::double[]) as p) group by p
 union all select 'l_quantity', p,
-  case p when 0.05 then quantile_cont(l_quantity, 0.05) when 0.5 then quantile_cont(l_quantity, 0.5)
-  else quantile_cont(l_quantity, 0.95) end
+  round(case p when 0.05 then quantile_cont(l_quantity, 0.05) when 0.5 then quantile_cont(l_quantity, 0.5) else quantile_cont(l_quantity, 0.95) end, 6)
 from lineitem, (select unnest([0.05, 0.5, 0.95]::double[]) as p) group by p""")
 def a11_quantiles(spark, sf):
     return exact_quantiles(table(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"],
@@ -211,12 +210,12 @@ def a15_orders(spark, sf):
         "segment": F.col("c_mktsegment")})
 
 
-_SUMMARY_NUM = """select '{c}' as "column", count({c}) as "count", count_if({c} is null) as null_count,
+_SUMMARY_NUM = """select '{c}' as "column", count({c}) as "count", count_if({c} is null)::bigint as null_count,
   round(avg({c}), 4) as mean, round(stddev_samp({c}), 4) as std, cast(min({c}) as double) as min,
   cast(max({c}) as double) as max, cast({p25} as double) as p25, cast({p50} as double) as p50,
   cast({p75} as double) as p75, cast(null as varchar) as first_value, cast(null as varchar) as last_value
 from orders"""
-_SUMMARY_TEXT = """select '{c}', count({c}), count_if({c} is null), null, null, null, null, null, null, null,
+_SUMMARY_TEXT = """select '{c}', count({c}), count_if({c} is null)::bigint, null, null, null, null, null, null, null,
   cast(min({c}) as varchar), cast(max({c}) as varchar) from orders"""
 _SUMMARY = " union all ".join(
     [_SUMMARY_NUM.format(c=c, p25=_near(c, 0.25, "orders"), p50=_near(c, 0.5, "orders"),

@@ -75,6 +75,7 @@ _VACANCY_EXPRS = [
     "named_struct('requirement', if(event_id % 7 = 0, null, concat(event_type, ' ', user_id % 11)), "
     "'responsibility', if(event_id % 11 = 0, null, concat('duty ', user_id % 13))) as snippet",
     "if(event_id % 3 = 0, 1, null) as extra",
+    "if(day(ts) >= 15, named_struct('logo', 'l'), null) as brand_snippet",
 ]
 
 # The same columns, flattened where a query needs them, for the SQL side.

@@ -226,7 +226,7 @@ c as (select lang, term, count(*) as cnt from w where term <> '' group by all)
 select lang, term, cnt, row_number() over (partition by lang order by cnt desc, term) as rank from c
 qualify row_number() over (partition by lang order by cnt desc, term) <= 10""")
 def g1(spark, sf):
-    words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
+    words = F.split(F.lower("text"), r"\s+")
     return top_terms(table(spark, sf, "documents").select("lang", words.alias("terms")),
                      "lang", "terms", 10)
 

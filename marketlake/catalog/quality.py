@@ -22,7 +22,8 @@ _ALWAYS = ["id", "name", "internship", "published_at", "created_at", "url", "emp
            "professional_roles", "relations", "snippet"]
 _SOMETIMES = {"schedule": "schedule_id is not null", "accept_temporary": "accept_temporary is not null",
               "salary": "salary_from is not null", "employment_form": "employment_form_id is not null",
-              "work_format": "work_format_ids is not null", "extra": "event_id % 3 = 0"}
+              "work_format": "work_format_ids is not null", "extra": "event_id % 3 = 0",
+              "brand_snippet": "day(ts) >= 15"}
 _KEYS = " union all ".join(
     [f"select url, published_at[1:10] as file_date, '{c}' as \"column\" from vac" for c in _ALWAYS]
     + [f"select url, published_at[1:10], '{c}' from vac where {w}" for c, w in _SOMETIMES.items()])
@@ -44,22 +45,23 @@ def q1(spark, sf):
 
 @query("q2_missing_columns", f"""with {VAC}, k as ({_KEYS}),
 d as (select distinct file_date, "column" from k)
-select f.file_date, c."column" from (select distinct file_date from d) f, (select distinct "column" from d) c
+select f.file_date as file_path, c."column" from (select distinct file_date from d) f, (select distinct "column" from d) c
 where (f.file_date, c."column") not in (select (file_date, "column") from d)""")
 def q2(spark, sf):
-    return missing_columns(_by_type(_lines(spark, sf)))
+    return missing_columns(_by_date(_lines(spark, sf)))
 
 
-def _by_type(lines):
-    """Name each line's part by its date, one part file a date."""
+def _by_date(lines):
+    """Take all part files of a date as one, whatever number the writer made."""
     return lines.withColumn(
         "file_path", F.date_format(path_date(F.col("file_path")), "yyyy-MM-dd")
     )
 
 
-@query("q3_columns_per_file")
+@query("q3_columns_per_file", f"""with {VAC}, k as ({_KEYS})
+select file_date as file_path, count(distinct "column") as column_cnt from k group by 1""")
 def q3(spark, sf):
-    return column_counts(_lines(spark, sf))
+    return column_counts(_by_date(_lines(spark, sf)))
 
 
 @query("q4_layer_difference", f"""select unnest(['extra', 'published_at', 'created_at']) as "column", 'left' as only_in
@@ -112,18 +114,18 @@ select cast(f.file_date as date) as date, c."column", cast(1 as bigint) as file_
 from (select distinct file_date from d) f, (select distinct "column" from d) c
 where (f.file_date, c."column") not in (select (file_date, "column") from d)""")
 def c5_outliers(spark, sf):
-    # Read as one part per date, whatever number of files the writer made.
-    lines = _lines(spark, sf).withColumn("file_path", F.regexp_extract("file_path", "(.*date=[0-9-]+)/", 1))
-    return outlier_columns(lines)
+    lines = _lines(spark, sf)
+    folder = F.regexp_extract("file_path", "(.*date=[0-9-]+)/", 1)
+    return outlier_columns(lines.withColumn("file_path", folder))
 
 
 @query("q6_silver_null_empty", f"""with {VAC}, s as (select * from vac
   qualify row_number() over (partition by id order by published_at_utc desc, url) = 1)
-select 'salary' as "column", count(*) as total_cnt, count_if(salary_from is null) as null_cnt,
+select 'salary' as "column", count(*) as total_cnt, count_if(salary_from is null)::bigint as null_cnt,
   round(count_if(salary_from is null) / count(*) * 100, 1) as null_pcnt,
   cast(null as bigint) as empty_list_cnt, cast(null as double) as empty_pcnt from s
-union all select 'work_format', count(*), count_if(work_format_ids is null),
-  round(count_if(work_format_ids is null) / count(*) * 100, 1), count_if(len(work_format_ids) = 0),
+union all select 'work_format', count(*), count_if(work_format_ids is null)::bigint,
+  round(count_if(work_format_ids is null) / count(*) * 100, 1), count_if(len(work_format_ids) = 0)::bigint,
   round(count_if(len(work_format_ids) = 0) / count(*) * 100, 1) from s""")
 def q6(spark, sf):
     from marketlake.operators.profile import null_and_empty_report

@@ -64,8 +64,8 @@ def s2(spark, sf):
 
 @query("s3_tolerant_scan", f"""with {VAC}
 select cast(event_id % 10 in (0, 1) as int) = 0 as has_id, count(*) as line_cnt,
-  count_if(event_id % 10 not in (0, 2)) as internship_cnt,
-  count_if(schedule_id is not null and event_id % 10 not in (0, 3)) as schedule_cnt
+  count_if(event_id % 10 not in (0, 2))::bigint as internship_cnt,
+  count_if(schedule_id is not null and event_id % 10 not in (0, 3))::bigint as schedule_cnt
 from vac group by 1""")
 def s3(spark, sf):
     rec = scan_jsonl(spark, damaged_bronze(spark, sf))
@@ -101,9 +101,12 @@ def s6(spark, sf):
     return scan_dump(spark, path, ";", multiline=False)
 
 
-@query("s7_file_inventory")
+@query("s7_file_inventory", """select ts::date as day, count(*) as row_cnt, true as has_size
+from events group by 1""")
 def s7(spark, sf):
-    return file_inventory(spark.read.parquet(event_days(spark, sf)))
+    files = file_inventory(spark.read.parquet(event_days(spark, sf)))
+    return files.groupBy(path_parts_date(F.col("file_path")).alias("day")).agg(
+        F.sum("row_cnt").alias("row_cnt"), F.bool_and(F.col("file_size") > 0).alias("has_size"))
 
 
 @query("s8_path_dates", """select cast(ts as date) as file_date, cast(ts as date) as parts_date,

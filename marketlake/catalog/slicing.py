@@ -59,7 +59,50 @@ def _moscow_counts(ev):
     return daily_second_counts(ev, F.col("ts"), day, from_zone(day.cast("timestamp_ntz")))
 
 
-@query("t2_overlapping_slices")
+# One recursion step tries one window of every run: shrink it, or take it and move on.
+_SECONDS = """m as (select (ts at time zone 'UTC') at time zone 'Europe/Moscow' as msk from events),
+c as (select msk::date as run, epoch_us(msk) // 1000000 - epoch_us(msk::date::timestamp) // 1000000 as s,
+  count(*) as n from m group by all)"""
+
+
+def _walk_sql(min_step, reset, grow_to, shrink):
+    return f"""with recursive {_SECONDS},
+w as (
+  select run, 0::double as pos, 3600::double as step, -1::bigint as first_s, -1::bigint as last_s,
+    0::bigint as found, false as taken from (select distinct run from c)
+  union all
+  select run, case when found > {DAY_CAP} and step > {min_step} then pos else stop + 1 end,
+    case when found > {DAY_CAP} and step > {min_step} then step / 2
+      when found > {DAY_CAP} then {reset}
+      when found < 500 then {grow_to} {shrink} else step end,
+    first_s, last_s, found, found > 0 and not (found > {DAY_CAP} and step > {min_step})
+  from (select w.run, pos, step, least(pos + step, 86400) as stop, floor(pos)::bigint as first_s,
+      least(floor(least(pos + step, 86400)), 86399)::bigint as last_s, coalesce(sum(n), 0)::bigint as found
+    from w left join c on c.run = w.run and c.s between floor(w.pos) and least(floor(least(w.pos + w.step, 86400)), 86399)
+    where pos < 86400 group by w.run, pos, step))
+select run, epoch_us(run::timestamp) // 1000000 - 10800 + first_s as first_second,
+  epoch_us(run::timestamp) // 1000000 - 10800 + last_s as last_second, found, found > {DAY_CAP} as over_cap,
+  make_timestamp(epoch_us(run::timestamp) - 10800000000 + first_s * 1000000) as "start",
+  make_timestamp(epoch_us(run::timestamp) - 10800000000 + last_s * 1000000) as "end"
+from w where taken"""
+
+
+_OVERLAP = f"""with recursive {_SECONDS},
+t as (
+  select run, 0::double as lo, 86399::double as hi, sum(n)::bigint as found from c group by 1
+  union all
+  select k.run, k.lo, k.hi, coalesce(sum(c.n), 0)::bigint as found from (
+    select run, unnest([lo, lo + half - over]) as lo, unnest([lo + half + over, hi]) as hi
+    from (select *, (hi - lo) / 2 as half, least(300, (hi - lo) / 4) as over from t
+          where found > {DAY_CAP} and (hi - lo) / 2 + least(300, (hi - lo) / 4) >= 300)) k
+  left join c on c.run = k.run and c.s between floor(k.lo) and floor(k.hi)
+  group by all)
+select run, epoch_us(run::timestamp) // 1000000 - 10800 + floor(lo)::bigint as first_second,
+  epoch_us(run::timestamp) // 1000000 - 10800 + floor(hi)::bigint as last_second, found, found > {DAY_CAP} as over_cap
+from t where found > 0 and (found <= {DAY_CAP} or (hi - lo) / 2 + least(300, (hi - lo) / 4) < 300)"""
+
+
+@query("t2_overlapping_slices", _OVERLAP)
 def t2(spark, sf):
     return overlapping_slices(_moscow_counts(events(spark, sf)), cap=DAY_CAP).drop("start", "end")
 
@@ -78,12 +121,12 @@ def t2_dedup(spark, sf):
         "unique_cnt", "id_sum", (F.col("fetched") >= F.col("unique_cnt")).alias("repeats_seen"))
 
 
-@query("t3_adaptive_walk")
+@query("t3_adaptive_walk", _walk_sql(60, 3600, "case when step < 86400 then step * 2 else step end", ""))
 def t3(spark, sf):
     return plan_days(events(spark, sf), F.col("ts"), cap=DAY_CAP)
 
 
-@query("t3_span_walk")
+@query("t3_span_walk", _walk_sql(30, "step", "least(step * 2, 604800)", "when found > 1500 then step * 0.8"))
 def t3_span(spark, sf):
     return walk_slices(_moscow_counts(events(spark, sf)), cap=DAY_CAP, rules=SPAN_WALK)
 

@@ -41,10 +41,10 @@ def r2(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("r3_window_counts", """select date_trunc('hour', ts)::timestamp as "start",
-  date_trunc('hour', ts)::timestamp + interval 1 hour as "end", event_type, count(*) as found
-from events group by all
-having date_trunc('hour', ts)::timestamp + interval 1 hour <= (select max(ts) - interval 1 hour from events)""")
+@query("r3_window_counts", """with w as (select date_trunc('hour', ts)::timestamp as "start",
+  event_type, count(*) as found from events group by all)
+select "start", "start" + interval 1 hour as "end", event_type, found from w
+where "start" + interval 1 hour <= (select max(ts) - interval 1 hour from events)""")
 def r3(spark, sf):
     path = scratch_path(spark, "r3")
     schema = events(spark, sf).schema

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,13 +22,8 @@ def facet_counts(df: DataFrame, facets: dict[str, Column],
 
     pairs = F.array(*[pair(name, value) for name, value in facets.items()])
     for name, items in (lists or {}).items():
-        pairs = F.concat(
-            pairs,
-            F.coalesce(
-                F.transform(items, lambda v, name=name: pair(name, v)),
-                F.array(pair(name, F.lit(None))),
-            ),
-        )
+        of_list = F.transform(items, partial(pair, name))
+        pairs = F.concat(pairs, F.coalesce(of_list, F.array(pair(name, F.lit(None)))))
     return (
         df.select(F.explode(pairs).alias("p"))
         .groupBy(F.col("p.facet").alias("facet"), F.col("p.value").alias("value"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,20 +77,28 @@ def list_column_report(df: DataFrame, column: str, k: int = 10) -> DataFrame:
 
 
 def list_length_stats(df: DataFrame, column: str) -> DataFrame:
-    """min, max, mean, median (interpolated) and nearest-rank p25/p75/p95 of list lengths."""
-    lens = df.select(F.array_size(_name(column)).cast("bigint").alias("len"))
-    base = lens.agg(
+    """min, max, mean, median (interpolated) and nearest-rank p25/p75/p95 of list lengths.
+
+    Works on a histogram of lengths, which has at most one row per distinct length.
+    """
+    hist = (
+        df.select(F.array_size(_name(column)).cast("bigint").alias("len"))
+        .filter("len is not null").groupBy("len").agg(F.count(F.lit(1)).alias("n"))
+    )
+    ranked = hist.withColumn("total", F.sum("n").over(Window.partitionBy())).withColumn(
+        "upto", F.sum("n").over(Window.orderBy("len"))
+    )
+
+    def nearest(prob: float) -> Column:
+        rank = F.round(F.lit(prob) * (F.col("total") - 1))
+        return F.min(F.when(F.col("upto") > rank, F.col("len")))
+
+    return ranked.agg(
         F.min("len").alias("min_len"), F.max("len").alias("max_len"),
-        F.round(F.avg("len"), 6).alias("avg_len"),
+        F.round(F.sum(F.col("len") * F.col("n")) / F.sum("n"), 6).alias("avg_len"),
+        F.percentile("len", F.lit(0.5), F.col("n")).alias("median_len"),
+        *[nearest(p).alias(f"p{int(p * 100)}_len") for p in (0.25, 0.75, 0.95)],
     )
-    # A list length takes few distinct values, so the exact aggregates stay small.
-    hist = lens.filter("len is not null").groupBy("len").agg(F.count(F.lit(1)).alias("n"))
-    median = hist.agg(F.percentile("len", F.lit(0.5), F.col("n")).alias("median_len"))
-    near = exact_quantiles(lens, ["len"], [0.25, 0.75, 0.95], "nearest").agg(*[
-        F.max(F.when(F.col("prob") == p, F.col("value"))).cast("bigint").alias(f"p{int(p * 100)}_len")
-        for p in (0.25, 0.75, 0.95)
-    ])
-    return base.join(median).join(near)
 
 
 def column_summary(df: DataFrame) -> DataFrame:

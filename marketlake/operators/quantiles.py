@@ -56,14 +56,14 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     level1 = _bucket_holding(values.groupBy("column", "k1").agg(*extremes), ["column"], "k1")
     position = F.col("prob") * (F.col("total") - 1)
     if method == "nearest":
-        ends = F.array(F.round(position))
+        ends = F.array(F.round(position).cast("bigint"))
     else:
         ends = F.array_distinct(F.array(F.floor(position), F.ceil(position)))
     wanted1 = (
         level1.withColumn("total", F.sum("n").over(Window.partitionBy("column")))
         .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .withColumn("share", position - F.floor(position))
-        .withColumn("rank", F.explode(ends).cast("bigint"))
+        .withColumn("rank", F.explode(ends))
         .filter((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("upto")))
         .select("column", "k1", "low", "high", "prob", "share", "rank",
                 (F.col("rank") - F.col("before")).alias("r1"))

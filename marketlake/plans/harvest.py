@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.times import MOSCOW, from_zone, zone_day
+from marketlake.session import materialize
 from marketlake.operators.slices import (
     DAILY_WALK,
     WalkRules,
@@ -33,7 +34,7 @@ def batch_rows(df: DataFrame, utc: Column, key: Column, dims: dict[str, Column],
     Slices over the cap are cut by ``dims``; a unit that is still over it gets more
     pages, so no row is lost.
     """
-    slices = plan_days(df, utc, cap, rules, zone)
+    slices = materialize(plan_days(df, utc, cap, rules, zone), "slices")
     rows = rows_in_slices(df, utc, zone_day(utc, zone), slices)
     slice_keys = ["run", "first_second", "last_second"]
     names = [f"dim_{n}" for n in dims]
@@ -42,7 +43,9 @@ def batch_rows(df: DataFrame, utc: Column, key: Column, dims: dict[str, Column],
         rows.filter("over_cap"), slice_keys, {n: F.col(n) for n in names}, cap
     )
     # Depth per full dimension path: few rows per over-cap slice.
-    depth = drilled.select(*slice_keys, *[F.col(n).alias(f"_{n}") for n in names], "depth")
+    depth = materialize(
+        drilled.select(*slice_keys, *[F.col(n).alias(f"_{n}") for n in names], "depth"), "drilled"
+    )
     same = [F.col(f"r.{k}") == F.col(f"d.{k}") for k in slice_keys] + [
         (F.col("d.depth") <= i) | F.col(f"r.{n}").eqNullSafe(F.col(f"d._{n}"))
         for i, n in enumerate(names)

@@ -9,5 +9,6 @@ from marketlake.operators.topk import top_values_per_group
 
 
 def top_terms(df: DataFrame, group: str, terms: str, k: int = 10) -> DataFrame:
-    """The k most frequent terms of each group; ``terms`` is an array column."""
-    return top_values_per_group(df.select(group, F.explode(terms).alias("term")), group, "term", k)
+    """The k most frequent non-empty terms of each group; ``terms`` is an array column."""
+    exploded = df.select(group, F.explode(terms).alias("term")).filter("term <> ''")
+    return top_values_per_group(exploded, group, "term", k)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from marketlake.operators.dedup import keep_latest, row_hash
-from marketlake.session import scratch_path
+from marketlake.session import materialize
 
 DAY_KEYS = ("year", "month", "day")
 
@@ -75,28 +75,24 @@ def _stored(df: DataFrame, path: str) -> DataFrame | None:
 
 
 def merge_days(df: DataFrame, path: str, key: str, order: list[Column]) -> None:
-    """Upsert rows into day partitions, keeping the latest row of a key in each day.
+    """Upsert rows into day partitions, keeping the first row of a key in ``order``.
 
-    Late rows belong to days that earlier runs wrote, so the stored rows of the days
-    touched by ``df`` are merged in before those days are replaced.  The merged days
-    go to a staging table first: a job must not read the files it overwrites, and the
-    staged copy lets a run that died half-way through the replace be finished.
+    ``df`` holds one row per key and day.  Late rows belong to days that earlier runs
+    wrote, so the stored rows of the days touched by ``df`` are merged in before those
+    days are replaced.  The merged days go to a staging table first: a job must not
+    read the files it overwrites, and the staged copy lets a run that died half-way
+    through the replace be finished.
     """
-    spark = df.sparkSession
-    order = [*order, row_hash(df).desc()]
-    staged_new = scratch_path(spark, "batch")
-    write_parquet(keep_latest(df, [key, *DAY_KEYS], order), staged_new)
-    new = spark.read.parquet(staged_new)
-    stored = _stored(new, path)
+    stored = _stored(df, path)
     if stored is None:
-        overwrite_days(new, path)
+        overwrite_days(df, path)
         return
+    new = materialize(df, "batch")
     touched = new.select(*DAY_KEYS).distinct()
     in_touched_days = stored.join(touched, list(DAY_KEYS), "left_semi")
-    merged = keep_latest(new.unionByName(in_touched_days), [key, *DAY_KEYS], order)
-    staging = scratch_path(spark, "staging")
-    write_parquet(merged, staging)
-    overwrite_days(spark.read.parquet(staging), path)
+    both = new.unionByName(in_touched_days)
+    merged = keep_latest(both, [key, *DAY_KEYS], [*order, row_hash(both).desc()])
+    overwrite_days(materialize(merged, "staging"), path)
 
 
 def write_ledger(df: DataFrame, path: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,11 @@ def scan_jsonl(spark: SparkSession, path: str, schema: T.StructType = VACANCY) -
     schema goes straight to the JSON reader, so each line is parsed once and only
     the columns a query uses are parsed.
     """
-    raw = spark.read.schema(as_text(schema)).option("mode", "PERMISSIVE").json(path)
+    raw = (
+        spark.read.schema(_reader_schema(schema))
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_RECORD)
+        .json(path)
+    )
     return conform(raw, schema)
 
 
@@ -28,8 +32,9 @@ def scan_jsonl_stream(
 ) -> DataFrame:
     """The same scan over a folder that keeps receiving files."""
     raw = (
-        spark.readStream.schema(as_text(schema))
+        spark.readStream.schema(_reader_schema(schema))
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD_RECORD)
         .option("maxFilesPerTrigger", max_files)
         .option("recursiveFileLookup", "true")
         .json(path)
@@ -37,16 +42,27 @@ def scan_jsonl_stream(
     return conform(raw, schema)
 
 
+def _reader_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*as_text(schema), T.StructField(BAD_RECORD, T.StringType())])
+
+
 def conform(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast text leaves to the contract types, column by column."""
-    return raw.select(
-        *[
-            F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
-            if f.dataType != T.StringType()
-            else F.col(f"`{f.name}`")
-            for f in schema
-        ]
-    )
+    """Cast text leaves to the contract types; columns that are all text need no cast.
+
+    The reader reports a line that ends too early and a field of the wrong shape in
+    the same way and may keep the fields before the break, so reported lines (and only
+    those) are looked at again: one that is no JSON object loses all its fields.
+    """
+    bad = F.col(BAD_RECORD)
+    whole = bad.isNull() | F.json_object_keys(bad).isNotNull()
+
+    def typed(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if field.dataType != as_text(field.dataType):
+            value = value.try_cast(field.dataType)
+        return F.when(F.col("_whole"), value).alias(field.name)
+
+    return raw.withColumn("_whole", whole).select(*[typed(f) for f in schema])
 
 
 def scan_jsonl_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -67,9 +83,9 @@ def quarantine(lines: DataFrame, key: str = "id", schema: T.StructType = VACANCY
     Good lines are not returned.
     """
     parse_as = as_text(schema).add(BAD_RECORD, T.StringType())
-    parsed = lines.withColumn(
-        "rec", F.from_json("value", parse_as, {"columnNameOfCorruptRecord": BAD_RECORD})
-    )
+    rec = F.from_json("value", parse_as, {"columnNameOfCorruptRecord": BAD_RECORD})
+    # Exploding one element keeps the optimizer from repeating the parse in the filter.
+    parsed = lines.withColumn("rec", F.explode(F.array(rec)))
     rec = F.col("rec")
     lost = lost_in_cast(rec, schema)
     bad_field = rec.getField(BAD_RECORD).isNotNull()

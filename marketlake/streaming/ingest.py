@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlake.functions.times import utc_of_text
+from marketlake.operators.dedup import keep_latest, row_hash
 from marketlake.plans.silver import enrich, latest_first
-from marketlake.sinks.writers import merge_days, with_day_keys
+from marketlake.sinks.writers import DAY_KEYS, merge_days, with_day_keys
 
 
 def stream_to_silver(records: DataFrame, silver_path: str, checkpoint: str,
@@ -23,7 +24,9 @@ def stream_to_silver(records: DataFrame, silver_path: str, checkpoint: str,
 
     def land(batch: DataFrame, _batch_id: int) -> None:
         rows = with_day_keys(enrich(batch), "published_at_utc")
-        merge_days(rows, silver_path, "id", latest_first(tie_break))
+        order = latest_first(tie_break)
+        newest = keep_latest(rows, ["id", *DAY_KEYS], [*order, row_hash(rows).desc()])
+        merge_days(newest, silver_path, "id", order)
 
     return (
         records.writeStream.foreachBatch(land)
