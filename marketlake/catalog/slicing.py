@@ -114,11 +114,11 @@ def t2_dedup(spark, sf):
     ev = events(spark, sf)
     slices = overlapping_slices(_moscow_counts(ev), cap=DAY_CAP)
     rows = rows_in_slices(ev.select("event_id", "ts"), F.col("ts"), zone_day(F.col("ts")), slices)
-    total = rows.agg(n_rows("fetched"))
+    fetched = rows.agg(n_rows("fetched")).scalar()
     unique = keep_latest(rows, ["event_id"], [F.col("first_second")]).agg(
         n_rows("unique_cnt"), F.sum("event_id").alias("id_sum"))
-    return unique.join(total).select(
-        "unique_cnt", "id_sum", (F.col("fetched") >= F.col("unique_cnt")).alias("repeats_seen"))
+    return unique.select(
+        "unique_cnt", "id_sum", (fetched >= F.col("unique_cnt")).alias("repeats_seen"))
 
 
 @query("t3_adaptive_walk", _walk_sql(60, 3600, "case when step < 86400 then step * 2 else step end", ""))

@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str],
-                   how: str = "inner") -> DataFrame:
+                   how: str = "inner", never_null: tuple[str, ...] = ()) -> DataFrame:
     """Join on ``keys`` without losing rows whose key is NULL; key columns come from left.
 
-    Spark turns null-safe equality into ordinary hash or sort-merge keys.
+    Spark turns null-safe equality into ordinary hash or sort-merge keys, two for each
+    column; columns in ``never_null`` are joined by plain equality, with one.
     """
-    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    both = [*keys, *never_null]
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in both})
     same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
-    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+    same += [F.col(k) == F.col(f"_right_{k}") for k in never_null]
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in both])
 
 
 def look_up(df: DataFrame, dictionary: DataFrame, key: str, dictionary_key: str) -> DataFrame:

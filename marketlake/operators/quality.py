@@ -52,14 +52,13 @@ def column_counts(lines: DataFrame) -> DataFrame:
 def missing_columns(lines: DataFrame) -> DataFrame:
     """(file_path, column) for columns some file has and this file lacks.
 
-    Works on one name set per file; the set of all names is a scalar bounded by
-    the width of the records, not by their number.
+    Works on one name set per file; the list of all names is a scalar subquery.
     """
     pairs = columns_per_file(lines)
     per_file = pairs.groupBy("file_path").agg(F.collect_set("column").alias("have"))
-    every = pairs.select("column").distinct().agg(F.collect_list("column").alias("names"))
-    return per_file.join(F.broadcast(every)).select(
-        "file_path", F.explode(F.array_except("names", "have")).alias("column")
+    every = pairs.select("column").distinct().agg(F.collect_list("column")).scalar()
+    return per_file.select(
+        "file_path", F.explode(F.array_except(every, F.col("have"))).alias("column")
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.session import materialize
+
 _FINE = 65_536
 
 
@@ -39,8 +41,10 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     ``method`` is ``linear`` (interpolated) or ``nearest`` (the element at rank
     ``round(q * (n - 1))``).  Ranks are located by narrowing: a coarse histogram of
     all values, a fine one inside the buckets that hold a wanted rank, then the
-    values of those sub-buckets.  Each pass shuffles only counts, so neither the
-    number of rows nor one very frequent value is collected in a task.
+    values of those sub-buckets.  Each pass scans the columns once and shuffles only
+    counts, so neither the number of rows nor one very frequent value is collected in
+    a task.  The located ranks, at most two per column and probability, are written
+    between passes.
     """
     values = (
         df.select(F.explode(F.array(*[
@@ -59,14 +63,15 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
         ends = F.array(F.round(position).cast("bigint"))
     else:
         ends = F.array_distinct(F.array(F.floor(position), F.ceil(position)))
-    wanted1 = (
+    wanted1 = materialize(
         level1.withColumn("total", F.sum("n").over(Window.partitionBy("column")))
         .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .withColumn("share", position - F.floor(position))
         .withColumn("rank", F.explode(ends))
         .filter((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("upto")))
         .select("column", "k1", "low", "high", "prob", "share", "rank",
-                (F.col("rank") - F.col("before")).alias("r1"))
+                (F.col("rank") - F.col("before")).alias("r1")),
+        "quantile_ranks",
     )
     # At most two ranks per column and probability: small enough to broadcast.
     within1 = values.join(
@@ -77,11 +82,12 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
         within1.groupBy("column", "k1", "k2").agg(F.count(F.lit(1)).alias("n")),
         ["column", "k1"], "k2",
     )
-    wanted2 = (
+    wanted2 = materialize(
         level2.join(wanted1, ["column", "k1"])
         .filter((F.col("before") <= F.col("r1")) & (F.col("r1") < F.col("upto")))
         .select("column", "k1", "k2", "prob", "share", "rank",
-                (F.col("r1") - F.col("before")).alias("r2"))
+                (F.col("r1") - F.col("before")).alias("r2")),
+        "quantile_ranks",
     )
     within2 = within1.join(
         F.broadcast(wanted2.select("column", "k1", "k2").distinct()), ["column", "k1", "k2"]

@@ -22,6 +22,7 @@ from marketlake.operators.joins import join_null_safe
 from marketlake.operators.topk import first_n_per_group
 
 DAY_SECONDS = 86_400
+_NO_TIME = -(2**60)
 
 
 # ---- chunks of a long range -------------------------------------------------
@@ -144,14 +145,6 @@ SPAN_WALK = WalkRules(min_step=30.0, max_step=7.0 * DAY_SECONDS, shrink_above=15
 _SLICE_SCHEMA = "first_second bigint, last_second bigint, found bigint, over_cap boolean"
 
 
-def second_counts(df: DataFrame, ts: Column, run: Column) -> DataFrame:
-    """(run, second, n), the input of the planners; at most 86 400 rows a daily run."""
-    return (
-        df.select(run.alias("run"), seconds(ts).alias("second"))
-        .groupBy("run", "second").agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
 class _Counts:
     """Rows between two seconds, both included, from sorted per-second counts."""
 
@@ -254,17 +247,26 @@ def overlapping_slices(counts: DataFrame, cap: int = 2000, min_seconds: int = 30
     )
 
 
-def rows_in_slices(df: DataFrame, utc: Column, run: Column, slices: DataFrame) -> DataFrame:
-    """Rows with the slice(s) they fall in, by equality join on (run, second)."""
-    by_second = slices.select(
-        "run", "first_second", "last_second", "over_cap",
-        F.explode(F.sequence("first_second", "last_second")).alias("second"),
+def rows_in_slices(df: DataFrame, utc: Column, run: Column, slices: DataFrame,
+                   grid_seconds: int = 60) -> DataFrame:
+    """Rows with the slice(s) they fall in.
+
+    Slices are spread to the grid steps they touch, so the range join becomes an
+    equality join on (run, step) with the exact bounds checked inside it.  There are
+    1 440 one-minute steps a day, whatever the number of rows.
+    """
+    step = lambda second: F.floor(second / grid_seconds)
+    by_step = slices.select(
+        F.col("run").alias("_run"), "first_second", "last_second", "over_cap",
+        F.explode(F.sequence(step(F.col("first_second")), step(F.col("last_second")))).alias("_at"),
     )
-    return (
-        df.withColumns({"run": run, "second": seconds(utc)})
-        .join(by_second, ["run", "second"])
-        .drop("second")
+    rows = df.withColumns({"run": run, "_second": seconds(utc)})
+    inside = (
+        (F.col("run") == F.col("_run"))
+        & (step(F.col("_second")) == F.col("_at"))
+        & F.col("_second").between(F.col("first_second"), F.col("last_second"))
     )
+    return rows.join(by_step, inside).drop("_run", "_at", "_second")
 
 
 # ---- beyond time: dimensions, caps and pages --------------------------------
@@ -315,35 +317,38 @@ def number_rows(df: DataFrame, keys: list[str], ts: Column, key: Column,
     """Add ``rn``, the row's 1-based position in its group by (second, hashed key).
 
     Groups may be of any size: rows are ranked only inside (group, second, first
-    hash characters), and each such bin starts at the number of rows in the bins
-    before it, taken from a count table.
+    hash characters), and each such bin starts at the number of rows in the days,
+    seconds and bins before it.  Those numbers come from count tables, summed up day
+    by day so that no window spans more than a group's days or a day's seconds.
     """
-    binned = df.withColumns({
-        "_sec": seconds(ts), "_hash": F.md5(key.cast("string")),
-    }).withColumn("_bin", F.substring("_hash", 1, hash_chars))
-    bins = binned.groupBy(*keys, "_sec", "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    below = lambda *part: (
-        Window.partitionBy(*part).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    per_second = (
-        bins.groupBy(*keys, "_sec").agg(F.sum("_n").alias("_n"))
-        .withColumn("_sec_from", F.coalesce(
-            F.sum("_n").over(below(*keys).orderBy("_sec")), F.lit(0)))
-        .drop("_n")
-    )
-    offsets = (
-        bins.withColumn("_bin_from", F.coalesce(
-            F.sum("_n").over(below(*keys, "_sec").orderBy("_bin")), F.lit(0)))
+    # Rows without a time come first, rows without a key first in their second.
+    binned = (
+        df.withColumns({
+            "_sec": F.coalesce(seconds(ts), F.lit(_NO_TIME)),
+            "_hash": F.coalesce(F.md5(key.cast("string")), F.lit("")),
+        })
+        .withColumn("_day", F.floor(F.col("_sec") / DAY_SECONDS))
+        .withColumn("_bin", F.substring("_hash", 1, hash_chars))
     )
-    offsets = (
-        join_null_safe(offsets, per_second, [*keys, "_sec"])
-        .select(*keys, "_sec", "_bin", (F.col("_sec_from") + F.col("_bin_from")).alias("_from"))
-    )
-    in_bin = Window.partitionBy(*keys, "_sec", "_bin").orderBy("_hash", key)
+    levels = ["_day", "_sec", "_bin"]
+    bins = binned.groupBy(*keys, *levels).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = bins.withColumn("_from", F.lit(0).cast("bigint")).drop("_n")
+    for i, level in enumerate(levels):
+        inside, upto = [*keys, *levels[:i]], [*keys, *levels[:i + 1]]
+        before = Window.partitionBy(*inside).orderBy(level).rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        per_part = bins.groupBy(*upto).agg(F.sum("_n").alias("_n")).select(
+            *upto, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+        )
+        offsets = join_null_safe(
+            offsets, per_part, keys, never_null=tuple(levels[:i + 1])
+        ).withColumn("_from", F.col("_from") + F.col("_before")).drop("_before")
+    in_bin = Window.partitionBy(*keys, *levels).orderBy("_hash", key)
     return (
-        join_null_safe(binned, offsets, [*keys, "_sec", "_bin"])
+        join_null_safe(binned, offsets, keys, never_null=tuple(levels))
         .withColumn("rn", (F.row_number().over(in_bin) + F.col("_from")).cast("bigint"))
-        .drop("_sec", "_hash", "_bin", "_from")
+        .drop(*levels, "_hash", "_from")
     )
 
 

@@ -18,7 +18,7 @@ def top_groups(df: DataFrame, keys: list[str], k: int, ties: list[Column] | None
 
 
 def first_n_per_group(df: DataFrame, keys: list[str], n: int, order: list[Column],
-                      spread_by: Column, salts: int = 64) -> DataFrame:
+                      spread_by: Column, salts: int = 1024) -> DataFrame:
     """The first n rows of every group, exact, with a hot group spread over tasks.
 
     A row among the first n of its group is also among the first n of its salt

@@ -12,9 +12,9 @@ from marketlake.operators.slices import (
     WalkRules,
     daily_second_counts,
     drill_slices,
-    number_rows,
     rows_in_slices,
     walk_slices,
+    with_pages,
 )
 
 
@@ -57,7 +57,7 @@ def batch_rows(df: DataFrame, utc: Column, key: Column, dims: dict[str, Column],
         n: F.when(F.col("depth") > i, F.coalesce(F.col(n).cast("string"), F.lit("(none)")))
         for i, n in enumerate(names)
     }).drop("over_cap", "depth")
-    # NULL marks an unused dimension; windows and joins on it need a value.
-    unit = unit.fillna("(all)", subset=names)
-    paged = number_rows(unit, [*slice_keys, *names], utc, key)
-    return paged.withColumn("page", F.floor((F.col("rn") - 1) / per_page).cast("bigint")).drop("rn")
+    # NULL marks an unused dimension.
+    parts = [F.col(c).cast("string") for c in ["run", "first_second", *names]]
+    unit = unit.fillna("(all)", subset=names).withColumn("unit", F.to_json(F.array(*parts)))
+    return with_pages(unit, ["unit"], utc, key, per_page).drop("unit", "rn")

@@ -16,8 +16,12 @@ LAKE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rank limits up to this size are applied before the shuffle as well.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
+    # De-duplication state may outgrow the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def lake_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
