@@ -43,10 +43,19 @@ def with_event_time(records: DataFrame) -> DataFrame:
     )
 
 
-def first_seen(records: DataFrame, delay: str) -> DataFrame:
-    """Drop repeats of an id across files; state older than ``delay`` is forgotten."""
-    return with_event_time(records).withWatermark("event_time", delay).dropDuplicatesWithinWatermark(
-        ["id"]
+def first_seen(records: DataFrame, delay: str, salts: int = 16) -> DataFrame:
+    """Drop repeats of an id across files; state older than ``delay`` is forgotten.
+
+    Repeats are first dropped inside (id, salt), so the copies of a very frequent id
+    are spread over tasks, and at most ``salts`` of them reach the final step.
+    """
+    # A seeded draw per row: a re-run of a scan task draws the same numbers.
+    salted = with_event_time(records).withColumn("_salt", F.floor(F.rand(0) * salts))
+    return (
+        salted.withWatermark("event_time", delay)
+        .dropDuplicatesWithinWatermark(["id", "_salt"])
+        .drop("_salt")
+        .dropDuplicatesWithinWatermark(["id"])
     )
 
 
