@@ -192,7 +192,7 @@ def t6(spark, sf):
     order by epoch_us(date_trunc('day', ts)::timestamp) // 1000000, md5(event_id::varchar), event_id) as rn from events) group by all""")
 def t6_hot(spark, sf):
     ev = events(spark, sf).select("event_type", F.date_trunc("day", "ts").alias("d"), "event_id")
-    return with_pages(ev, ["event_type"], F.col("d"), F.col("event_id")).groupBy(
+    return with_pages(ev, ["event_type"], F.col("d"), F.col("event_id"), hot_rows=500).groupBy(
         "event_type", "page").agg(n_rows("row_cnt"), F.sum("event_id").alias("id_sum"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.operators.joins import join_null_safe
+from marketlake.operators.joins import HOT_ROWS, join_group_sizes, join_null_safe
 
 ROW_NUMBER = "_rn"
 
@@ -41,14 +41,13 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def repeated_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+def repeated_rows(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """All rows whose key occurs more than once.
 
-    Keys are counted first (partial counts leave each task), and the rows then meet
-    them in a semi join, which adaptive execution can split for a hot key; a window
-    over the key would put all copies of it in one task.
+    Keys are counted first (partial counts leave each task) and joined back, hot keys
+    by broadcast; a window over the key would put all copies of it in one task.
     """
-    return join_null_safe(df, repeated_keys(df, keys), keys, "left_semi")
+    return join_group_sizes(df, repeated_keys(df, keys), keys, "cnt", hot_rows).drop("cnt")
 
 
 def publication_counts(df: DataFrame, key: str, day: Column) -> DataFrame:
@@ -67,10 +66,10 @@ def publication_counts(df: DataFrame, key: str, day: Column) -> DataFrame:
     )
 
 
-def with_publication_count(df: DataFrame, key: str) -> DataFrame:
+def with_publication_count(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add how many rows share the key, as a column on every row."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("publication_cnt"))
-    return join_null_safe(df, counts, [key])
+    return join_group_sizes(df, counts, [key], "publication_cnt", hot_rows)
 
 
 def most_repeated_key(df: DataFrame, keys: list[str]) -> DataFrame:

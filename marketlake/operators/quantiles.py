@@ -7,21 +7,24 @@ from pyspark.sql import functions as F
 
 from marketlake.session import materialize
 
+_PER_UNIT = 256
 _FINE = 65_536
 
 
 def _coarse(value: Column) -> Column:
     """A monotone bucket number; at most 400 000 buckets over all doubles."""
-    scaled = F.asinh(value) * 256
+    scaled = F.asinh(value) * _PER_UNIT
     return F.floor(F.greatest(F.least(scaled, F.lit(2e5)), F.lit(-2e5)))
 
 
-def _fine(value: Column, low: Column, high: Column) -> Column:
-    """A monotone sub-bucket number between the two ends of a coarse bucket."""
-    share = (value - low) / (high - low)
-    return F.when(high == low, F.lit(0)).otherwise(
-        F.least(F.floor(share * _FINE), F.lit(_FINE - 1))
-    ).cast("bigint")
+def _fine(value: Column, coarse: Column) -> Column:
+    """A monotone sub-bucket number between the ends of a coarse bucket.
+
+    Values outside finite ends share sub-bucket 0, which only makes it larger.
+    """
+    low, high = F.sinh(coarse / _PER_UNIT), F.sinh((coarse + 1) / _PER_UNIT)
+    share = F.nanvl(F.try_divide(value - low, high - low), F.lit(0.0))
+    return F.floor(F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0)) * _FINE)
 
 
 def _bucket_holding(counts: DataFrame, inside: list[str], order: str) -> DataFrame:
@@ -55,31 +58,33 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
         .filter(F.col("v").isNotNull() & ~F.isnan("v"))
         .withColumn("k1", _coarse(F.col("v")))
     )
-    extremes = [F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")]
-
-    level1 = _bucket_holding(values.groupBy("column", "k1").agg(*extremes), ["column"], "k1")
+    n_rows = F.count(F.lit(1)).alias("n")
+    level1 = _bucket_holding(values.groupBy("column", "k1").agg(n_rows), ["column"], "k1")
+    whole = Window.partitionBy("column").orderBy("k1").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
     position = F.col("prob") * (F.col("total") - 1)
     if method == "nearest":
         ends = F.array(F.round(position).cast("bigint"))
     else:
         ends = F.array_distinct(F.array(F.floor(position), F.ceil(position)))
     wanted1 = materialize(
-        level1.withColumn("total", F.sum("n").over(Window.partitionBy("column")))
+        level1.withColumn("total", F.sum("n").over(whole))
         .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .withColumn("share", position - F.floor(position))
         .withColumn("rank", F.explode(ends))
         .filter((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("upto")))
-        .select("column", "k1", "low", "high", "prob", "share", "rank",
+        .select("column", "k1", "prob", "share", "rank",
                 (F.col("rank") - F.col("before")).alias("r1")),
         "quantile_ranks",
     )
     # At most two ranks per column and probability: small enough to broadcast.
-    within1 = values.join(
-        F.broadcast(wanted1.select("column", "k1", "low", "high").distinct()), ["column", "k1"]
-    ).withColumn("k2", _fine(F.col("v"), F.col("low"), F.col("high")))
+    within1 = values.join(F.broadcast(wanted1), ["column", "k1"], "left_semi").withColumn(
+        "k2", _fine(F.col("v"), F.col("k1"))
+    )
 
     level2 = _bucket_holding(
-        within1.groupBy("column", "k1", "k2").agg(F.count(F.lit(1)).alias("n")),
+        within1.groupBy("column", "k1", "k2").agg(n_rows),
         ["column", "k1"], "k2",
     )
     wanted2 = materialize(
@@ -89,12 +94,10 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                 (F.col("r1") - F.col("before")).alias("r2")),
         "quantile_ranks",
     )
-    within2 = within1.join(
-        F.broadcast(wanted2.select("column", "k1", "k2").distinct()), ["column", "k1", "k2"]
-    )
+    within2 = within1.join(F.broadcast(wanted2), ["column", "k1", "k2"], "left_semi")
 
     level3 = _bucket_holding(
-        within2.groupBy("column", "k1", "k2", "v").agg(F.count(F.lit(1)).alias("n")),
+        within2.groupBy("column", "k1", "k2", "v").agg(n_rows),
         ["column", "k1", "k2"], "v",
     )
     low, high = F.min("v"), F.max("v")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.times import micros, of_micros, of_seconds, seconds
-from marketlake.operators.joins import join_null_safe
+from marketlake.operators.joins import HOT_ROWS, join_null_safe, split_hot
 from marketlake.operators.topk import first_n_per_group
 
 DAY_SECONDS = 86_400
@@ -313,24 +313,37 @@ def capped_rows(df: DataFrame, keys: list[str], cap: int, order: list[Column],
 
 
 def number_rows(df: DataFrame, keys: list[str], ts: Column, key: Column,
-                hash_chars: int = 3) -> DataFrame:
+                hash_chars: int = 3, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``rn``, the row's 1-based position in its group by (second, hashed key).
 
-    Groups may be of any size: rows are ranked only inside (group, second, first
-    hash characters), and each such bin starts at the number of rows in the days,
-    seconds and bins before it.  Those numbers come from count tables, summed up day
-    by day so that no window spans more than a group's days or a day's seconds.
+    Groups may be of any size; ``key`` should identify a row.  Groups up to
+    ``hot_rows`` are ranked by an ordinary window.  Rows of larger ones are ranked
+    only inside (second, first hash characters), and each such bin starts at the
+    number of rows in the days, seconds and bins before it.
     """
     # Rows without a time come first, rows without a key first in their second.
-    binned = (
-        df.withColumns({
-            "_sec": F.coalesce(seconds(ts), F.lit(_NO_TIME)),
-            "_hash": F.coalesce(F.md5(key.cast("string")), F.lit("")),
-        })
-        .withColumn("_day", F.floor(F.col("_sec") / DAY_SECONDS))
-        .withColumn("_bin", F.substring("_hash", 1, hash_chars))
-    )
+    ordered = df.withColumns({
+        "_sec": F.coalesce(seconds(ts), F.lit(_NO_TIME)),
+        "_hash": F.coalesce(F.md5(key.cast("string")), F.lit("")),
+    })
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    hot, rest = split_hot(ordered, sizes, keys, "_size", hot_rows)
+    in_group = Window.partitionBy(*keys).orderBy("_sec", "_hash", key)
+    ranked = rest.withColumn("rn", F.row_number().over(in_group).cast("bigint"))
+    return ranked.unionByName(_number_in_bins(hot, keys, key, hash_chars)).drop("_sec", "_hash")
+
+
+def _number_in_bins(ordered: DataFrame, keys: list[str], key: Column,
+                    hash_chars: int) -> DataFrame:
+    """``rn`` by ranks inside small bins plus the rows counted before each bin.
+
+    The counts are summed level by level, so that no window spans more than a
+    group's days, a day's seconds or a second's bins.
+    """
     levels = ["_day", "_sec", "_bin"]
+    binned = ordered.withColumns({
+        "_day": F.floor(F.col("_sec") / DAY_SECONDS), "_bin": F.substring("_hash", 1, hash_chars),
+    })
     bins = binned.groupBy(*keys, *levels).agg(F.count(F.lit(1)).alias("_n"))
     offsets = bins.withColumn("_from", F.lit(0).cast("bigint")).drop("_n")
     for i, level in enumerate(levels):
@@ -348,14 +361,14 @@ def number_rows(df: DataFrame, keys: list[str], ts: Column, key: Column,
     return (
         join_null_safe(binned, offsets, keys, never_null=tuple(levels))
         .withColumn("rn", (F.row_number().over(in_bin) + F.col("_from")).cast("bigint"))
-        .drop(*levels, "_hash", "_from")
+        .drop("_day", "_bin", "_from")
     )
 
 
-def with_pages(df: DataFrame, keys: list[str], ts: Column, key: Column,
-               per_page: int = 100) -> DataFrame:
+def with_pages(df: DataFrame, keys: list[str], ts: Column, key: Column, per_page: int = 100,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``rn`` and the 0-based ``page`` of each row inside its slice."""
-    numbered = number_rows(df, keys, ts, key)
+    numbered = number_rows(df, keys, ts, key, hot_rows=hot_rows)
     return numbered.withColumn("page", F.floor((F.col("rn") - 1) / per_page).cast("bigint"))
 
 

@@ -58,13 +58,14 @@ def test_list_length_stats(spark):
     assert tuple(got) == (0, 9, round(17 / 7, 6), 2.0, *near)
 
 
-def test_null_keys_are_a_group(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d"), (2, "e")], "k int, v string")
-    assert {r["v"] for r in repeated_rows(df, ["k"]).collect()} == set("abcd")
-    assert rows(with_publication_count(df, "k").select("v", "publication_cnt")) == [
-        ("a", 2), ("b", 2), ("c", 2), ("d", 2), ("e", 1)]
+@pytest.mark.parametrize("hot", [0, 2, 100])
+def test_null_keys_are_a_group(spark, hot):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (None, "d"), (None, "e"), (2, "f")], "k int, v string")
+    assert {r["v"] for r in repeated_rows(df, ["k"], hot).collect()} == set("abcde")
+    assert rows(with_publication_count(df, "k", hot).select("v", "publication_cnt")) == [
+        ("a", 3), ("b", 3), ("c", 3), ("d", 2), ("e", 2), ("f", 1)]
     share = duplicate_share(df.withColumn("d", F.lit(1)), "k", ["d"]).first()
-    assert tuple(share) == (1, 3, 2, 33.33)
+    assert tuple(share) == (1, 4, 2, 50.0)
 
 
 def test_copies_of_top_key(spark):

@@ -95,8 +95,9 @@ def test_drill_keeps_null_buckets(events):
     assert out.filter("depth = 1 and kind is null").count() >= 1
 
 
-def test_number_rows_is_a_permutation_even_for_null_groups(events):
-    out = number_rows(events, ["kind"], F.col("ts"), F.col("id"))
+@pytest.mark.parametrize("hot_rows", [0, 250, 1000])
+def test_number_rows_is_a_permutation_even_for_null_groups(events, hot_rows):
+    out = number_rows(events, ["kind"], F.col("ts"), F.col("id"), hot_rows=hot_rows)
     assert out.count() == events.count()
     per = {}
     for r in out.collect():
