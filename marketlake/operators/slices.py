@@ -3,7 +3,7 @@
 All planners work on counts: rows are reduced to one count per (run, second) or
 (root, cell) with partial counts in every task, and only that small table is
 planned over.  No slice with rows is ever left out; one that cannot be cut further
-is kept and flagged ``over_cap``.
+is kept and flagged ``over_cap``.  Rows without a time belong to no slice.
 """
 
 from __future__ import annotations
@@ -18,7 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.times import micros, of_micros, of_seconds, seconds
-from marketlake.operators.joins import HOT_ROWS, join_null_safe, split_hot
+from marketlake.operators.joins import (
+    HOT_ROWS,
+    join_group_sizes,
+    join_null_safe,
+    split_hot,
+)
 from marketlake.operators.topk import first_n_per_group
 
 DAY_SECONDS = 86_400
@@ -82,7 +87,9 @@ def bisect_slices(df: DataFrame, ts: Column, cap: int, span_seconds: int = DAY_S
     """
     depth = bisection_depth(span_seconds, min_seconds)
     cells = (
-        _with_cells(df.select(ts.alias("_ts")), F.col("_ts"), span_seconds, depth)
+        _with_cells(
+            df.filter(ts.isNotNull()).select(ts.alias("_ts")), F.col("_ts"), span_seconds, depth
+        )
         .groupBy("root", "cell").agg(F.count(F.lit(1)).alias("n"))
     )
     nodes = (
@@ -107,19 +114,22 @@ def bisect_slices(df: DataFrame, ts: Column, cap: int, span_seconds: int = DAY_S
 
 
 def rows_in_bisect_slices(df: DataFrame, ts: Column, slices: DataFrame,
-                          span_seconds: int = DAY_SECONDS, min_seconds: int = 300) -> DataFrame:
+                          span_seconds: int = DAY_SECONDS, min_seconds: int = 300,
+                          hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows with the ``level`` and ``node`` of their slice, by equality join on the cell.
 
     Every slice is spread to the finest cells it covers (at most ``2**depth`` a root),
-    which turns the range join into an equality join.
+    which turns the range join into an equality join; a slice that is over the cap
+    has one cell, and a very large one is joined by broadcast.
     """
     depth = bisection_depth(span_seconds, min_seconds)
     scale = f"shiftleft(1L, cast({depth} - level as int))"
     cells = slices.select(
-        "root", "level", "node",
+        "root", "level", "node", "found",
         F.explode(F.expr(f"sequence(node * {scale}, (node + 1) * {scale} - 1)")).alias("cell"),
     )
-    return _with_cells(df, ts, span_seconds, depth).join(cells, ["root", "cell"]).drop("cell")
+    rows = _with_cells(df.filter(ts.isNotNull()), ts, span_seconds, depth)
+    return join_group_sizes(rows, cells, ["root", "cell"], "found", hot_rows).drop("cell", "found")
 
 
 # ---- planners that walk one run's counts ------------------------------------
@@ -225,7 +235,8 @@ def daily_second_counts(df: DataFrame, utc: Column, day: Column, day_start: Colu
     """Per-second counts of daily runs with each run's start and end second."""
     start = seconds(day_start)
     return (
-        df.select(day.alias("run"), seconds(utc).alias("second"), start.alias("start"))
+        df.filter(utc.isNotNull())
+        .select(day.alias("run"), seconds(utc).alias("second"), start.alias("start"))
         .groupBy("run", "second", "start").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("end", F.col("start") + DAY_SECONDS)
     )

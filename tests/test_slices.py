@@ -84,7 +84,17 @@ def test_bisection_matches_recursion(events):
     slices = bisect_slices(events, F.col("ts"), CAP)
     got = sorted(tuple(r) for r in slices.select("start", "end", "found", "over_cap").collect())
     assert got == sorted(want)
-    assert rows_in_bisect_slices(events, F.col("ts"), slices).count() == len(stamps)
+    for hot in (0, 100, 1000):
+        rows = rows_in_bisect_slices(events, F.col("ts"), slices, hot_rows=hot)
+        sizes = rows.groupBy("root", "level", "node").agg(F.count(F.lit(1)).alias("n"))
+        assert rows.count() == len(stamps)
+        assert sizes.join(slices, ["root", "level", "node"]).filter("n <> found").count() == 0
+
+
+def test_rows_without_a_time_are_in_no_slice(spark, events):
+    odd = events.union(spark.sql("select 9999L, cast(null as timestamp_ntz), 'a', 1"))
+    assert bisect_slices(odd, F.col("ts"), CAP).agg(F.sum("found")).first()[0] == events.count()
+    assert walk_slices(counts(odd), CAP).agg(F.sum("found")).first()[0] == events.count()
 
 
 def test_drill_keeps_null_buckets(events):
