@@ -10,6 +10,7 @@ from marketlake.operators.facets import facet_counts
 from marketlake.operators.profile import (
     column_summary,
     empty_list_report,
+    fill_report,
     list_column_report,
     list_length_stats,
     null_counts,
@@ -265,16 +266,7 @@ select rows_cnt, unique_cnt, null_cnt, round(null_cnt / rows_cnt * 100, 2) as nu
 select count(requirement) as rows_cnt, count(distinct requirement) as unique_cnt,
   count(*) filter (where requirement is null) as null_cnt from vac)""")
 def a19(spark, sf):
-    # null_prcnt divides by the non-null count, null_share by all rows.
-    return vacancies(spark, sf).select(F.col("snippet.requirement").alias("requirement")).agg(
-        F.count("requirement").alias("rows_cnt"),
-        F.count_distinct("requirement").alias("unique_cnt"),
-        F.count_if(F.col("requirement").isNull()).alias("null_cnt"),
-    ).withColumns({
-        "null_prcnt": F.round(F.col("null_cnt") / F.col("rows_cnt") * 100, 2),
-        "null_share": F.round(
-            F.col("null_cnt") / (F.col("rows_cnt") + F.col("null_cnt")) * 100, 2),
-    })
+    return fill_report(vacancies(spark, sf), "snippet.requirement")
 
 
 @query("a20_found_per_window", f"""with {VAC}

@@ -18,6 +18,7 @@ from marketlake.functions.lists import first_item
 from marketlake.plans.harvest import batch_rows
 from marketlake.plans.historical import Dump, consolidate
 from marketlake.plans.marts import top_terms
+from marketlake.plans.profile import list_reports, profile_silver
 from marketlake.plans.reconcile import copies_of_top_key, repeats_by_date
 from marketlake.plans.silver import bronze_to_silver, clean_any, enrich
 from marketlake.sinks.writers import write_jsonl_batches, write_parquet
@@ -179,6 +180,39 @@ def c4(spark, sf):
     return counts.withColumnsRenamed({"facet": "report", "found": "cnt"})
 
 
+_LATEST = "qualify row_number() over (partition by id order by published_at_utc desc, url) = 1"
+
+
+@query("c4_list_reports", f"""with {VAC}, s as (select * from vac {_LATEST})
+select 'work_format' as "column", case when work_format_ids is null then null else '[' || array_to_string(list_transform(work_format_ids,
+    lambda w: '{{"id":"' || w || '","name":"' || case w when 'ON_SITE' then 'on site' else lower(w) end || '"}}'), ',') || ']' end as value,
+  cast(len(work_format_ids) as bigint) as len, count(*) as cnt from s group by work_format_ids
+union all select 'relations', '[]', 0, count(*) from s
+union all select 'working_days', null, null, count(*) from s""")
+def c4_lists(spark, sf):
+    rows = scan_partitioned(spark, silver(spark, sf))
+    return list_reports(rows, ["work_format", "relations", "working_days"])
+
+
+def _profile(spark, sf, name):
+    return profile_silver(scan_partitioned(spark, silver(spark, sf)), [name])[name]
+
+
+@query("c4_role_report", f"""with {VAC}, s as (select * from vac {_LATEST})
+select 'Role ' || role_ids[1][2:] as professional_role, count(*) as rows_cnt from s group by 1""")
+def c4_roles(spark, sf):
+    return _profile(spark, sf, "roles")
+
+
+@query("c4_fill_report", f"""with {VAC}, s as (select * from vac {_LATEST})
+select rows_cnt, unique_cnt, null_cnt, round(null_cnt / rows_cnt * 100, 2) as null_prcnt,
+  round(null_cnt / (rows_cnt + null_cnt) * 100, 2) as null_share from (
+select count(responsibility) as rows_cnt, count(distinct responsibility) as unique_cnt,
+  count(*) filter (where responsibility is null) as null_cnt from s)""")
+def c4_fill(spark, sf):
+    return _profile(spark, sf, "responsibility")
+
+
 @query("c5_repeats_by_date", f"""with {VAC}
 select cast(ts as date) as date, count(id) as total_id_cnt, count(distinct id) as unique_id_cnt,
   round((count(id) - count(distinct id)) / count(id) * 100, 2) as share_of_duplicates_pcnt

@@ -64,6 +64,23 @@ def null_and_empty_report(df: DataFrame) -> DataFrame:
     return nulls.join(empty, "column", "left")
 
 
+def fill_report(df: DataFrame, field: str) -> DataFrame:
+    """Filled, distinct and NULL counts of one field, with two NULL percentages.
+
+    ``null_prcnt`` relates NULLs to filled rows (so it can pass 100), ``null_share`` to
+    all rows.
+    """
+    return df.select(F.col(field).alias("v")).agg(
+        F.count("v").alias("rows_cnt"),
+        F.count_distinct("v").alias("unique_cnt"),
+        F.count_if(F.col("v").isNull()).alias("null_cnt"),
+    ).withColumns({
+        "null_prcnt": F.round(F.try_divide(F.col("null_cnt"), F.col("rows_cnt")) * 100, 2),
+        "null_share": F.round(
+            F.try_divide(F.col("null_cnt"), F.col("rows_cnt") + F.col("null_cnt")) * 100, 2),
+    })
+
+
 def list_column_report(df: DataFrame, column: str, k: int = 10) -> DataFrame:
     """The k most frequent values of a list column: (value, len, cnt), value as JSON."""
     items = _name(column)

@@ -6,6 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from conftest import rows
+from marketlake.plans.profile import profile_silver
 from marketlake.plans.silver import bronze_to_silver, clean, silver_metrics, with_local_times
 from marketlake.sources.jsonl import scan_jsonl
 from marketlake.sources.tables import scan_day, scan_partitioned
@@ -81,3 +82,19 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
         F.lit(None).cast("string").alias("created_at"))
     plan = clean(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_profile_reports_run_on_the_whole_contract(spark, tmp_path):
+    path = write(tmp_path, [
+        line("1", "2025-12-04T10:00:00+0300", internship=True, working_days=[],
+             professional_roles=[{"id": "1", "name": "Courier"}], snippet={"requirement": "r"}),
+        line("2", "2025-12-04T11:00:00+0300", schedule={"id": "s", "name": "shift"}),
+    ])
+    reports = {k: v.collect() for k, v in profile_silver(clean(scan_jsonl(spark, path))).items()}
+    assert tuple(reports["ids"][0]) == (2, 2)
+    assert len(reports["nulls_and_empty"]) == 51
+    assert {r["professional_role"]: r["rows_cnt"] for r in reports["roles"]} == {"Courier": 1, None: 1}
+    assert {(r["column"], r["value"], r["cnt"]) for r in reports["list_values"]} >= {
+        ("working_days", "[]", 1), ("working_days", None, 1), ("working_hours", None, 2)}
+    assert tuple(reports["requirement"][0])[:3] == (1, 1, 1)
+    assert len(reports) == 12
