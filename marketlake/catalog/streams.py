@@ -37,7 +37,8 @@ def r2(spark, sf):
     path = scratch_path(spark, "r2")
     records = scan_jsonl_stream(spark, bronze(spark, sf), max_files=15).select("id", "published_at")
     _finish(append_to_parquet(first_seen(records, "60 days").select("id"), path,
-                              scratch_path(spark, "r2_state")))
+                              scratch_path(spark, "r2_state"),
+                              spark.sparkContext.defaultParallelism))
     return spark.read.parquet(path)
 
 
@@ -51,7 +52,7 @@ def r3(spark, sf):
     stream = spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet")
     _finish(append_to_parquet(
         window_counts(stream, "ts", "1 hour", "1 hour", ["event_type"]), path,
-        scratch_path(spark, "r3_state")))
+        scratch_path(spark, "r3_state"), spark.sparkContext.defaultParallelism))
     return spark.read.parquet(path)
 
 

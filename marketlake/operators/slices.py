@@ -9,11 +9,13 @@ is kept and flagged ``over_cap``.  Rows without a time belong to no slice.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,9 @@ from marketlake.operators.joins import (
 )
 from marketlake.operators.topk import first_n_per_group
 
+# The planners travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DAY_SECONDS = 86_400
 _NO_TIME = -(2**60)
 

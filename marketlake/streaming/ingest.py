@@ -88,13 +88,26 @@ def late_rows(records: DataFrame, file_date: Column) -> DataFrame:
     )
 
 
-def append_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append a stream's output to a Parquet table, exactly once."""
-    return (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+def append_to_parquet(stream: DataFrame, path: str, checkpoint: str,
+                      state_partitions: int | None = None) -> StreamingQuery:
+    """Append a stream's output to a Parquet table, exactly once.
+
+    A stateful query keeps the number of state partitions it is first started with;
+    ``state_partitions`` sets it for this query alone (by default the session's number
+    of shuffle partitions).
+    """
+    conf = stream.sparkSession.conf
+    usual = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions or usual))
+    try:
+        # The query takes its own copy of the settings when it starts.
+        return (
+            stream.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        conf.set("spark.sql.shuffle.partitions", usual)
