@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import quality_classifier, quality_rules, simhash
+from marketlake.llm import mixing, quality_classifier, quality_rules, simhash, toxicity
 from marketlake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,13 @@ def op8(spark, sf):
 @query("op9_quality_classifier")
 def op9(spark, sf):
     return quality_classifier.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op4_mix_sources", mixing.SQL)
+def op4(spark, sf):
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+@query("op7_toxicity")
+def op7(spark, sf):
+    return toxicity.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
