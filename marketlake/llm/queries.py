@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import mixing, quality_classifier, quality_rules, simhash, toxicity
+from marketlake.llm import line_dedup, mixing, quality_classifier, quality_rules, simhash, toxicity
 from marketlake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,12 @@ def op9(spark, sf):
     return quality_classifier.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query("op2_line_dedup", line_dedup.SQL)
+def op2(spark, sf):
+    found = line_dedup.deduplicate_lines(table(spark, sf, "documents"))
+    return found.select("doc_id", "text", "lines_before", "lines_removed", "words_removed")
+
+
 @query("op4_mix_sources", mixing.SQL)
 def op4(spark, sf):
     return mixing.mix(table(spark, sf, "documents"))
