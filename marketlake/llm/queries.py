@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import line_dedup, mixing, quality_classifier, quality_rules, simhash, toxicity
+from marketlake.llm import (
+    decontaminate,
+    line_dedup,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    toxicity,
+)
 from marketlake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +73,8 @@ def op4(spark, sf):
 @query("op7_toxicity")
 def op7(spark, sf):
     return toxicity.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op10_decontaminate")
+def op10(spark, sf):
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

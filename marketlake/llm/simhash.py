@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
     def work(chunk: Chunk) -> dict[str, np.ndarray]:
         return {"bits": _majority(*shingle_hashes(chunk, shingle)).view(np.int64)}
 
-    return map_chunks(docs, [id_col, *keep], text_col, work, "bits long", lower=True)
+    return map_chunks(docs, [id_col, *keep], text_col, work, "bits long", lower="ascii")
 
 
 def _long(value: int) -> Column:

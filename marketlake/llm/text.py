@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 CHUNK_BYTES = 2_000_000
@@ -135,10 +136,15 @@ def repeated(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def text_chunks(column: pa.Array, lower: bool = False) -> Iterator[Chunk]:
-    """Chunks of a text column; a null text is an empty one."""
+def text_chunks(column: pa.Array, lower: str = "") -> Iterator[Chunk]:
+    """Chunks of a text column; a null text is an empty one.
+
+    ``lower`` is "" (as it is), "ascii" (A-Z only) or "unicode" (every capital letter).
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if lower == "unicode":
+        column = pc.utf8_lower(column.cast(pa.large_string()))
     column = column.cast(pa.large_binary()).fill_null(b"")
     if not len(column):
         return
@@ -150,13 +156,13 @@ def text_chunks(column: pa.Array, lower: bool = False) -> Iterator[Chunk]:
         stop = int(np.searchsorted(edges, edges[at] + CHUNK_BYTES, "right")) - 1
         stop = min(max(stop, at + 1), len(column))
         piece = data[edges[at]: edges[stop]]
-        yield Chunk(LOWER[piece] if lower else piece, edges[at: stop + 1] - edges[at], at)
+        yield Chunk(LOWER[piece] if lower == "ascii" else piece, edges[at: stop + 1] - edges[at], at)
         at = stop
 
 
 def map_chunks(df: DataFrame, keep: list[str], text: str,
                work: Callable[[Chunk], dict[str, np.ndarray]], schema: str,
-               lower: bool = False) -> DataFrame:
+               lower: str = "") -> DataFrame:
     """One output row a document: its ``keep`` columns and what ``work`` finds in its text.
 
     ``schema`` declares the columns of ``work``, whose arrays hold a value a document.

@@ -106,7 +106,7 @@ def _ftrl(docs: list[np.ndarray], labels: np.ndarray, seed: int) -> tuple[np.nda
 def _learn(shard: pd.DataFrame) -> pd.DataFrame:
     shard = shard.sort_values("place")
     docs = []
-    for chunk in text_chunks(pa.array(shard["text"]), lower=True):
+    for chunk in text_chunks(pa.array(shard["text"]), lower="unicode"):
         keys, doc = _features(chunk)
         order = np.argsort(doc, kind="stable")
         for part in np.split(keys[order], np.cumsum(np.bincount(doc, minlength=chunk.n_docs))[:-1]):
@@ -181,7 +181,7 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
             np.add.at(total, pairs[:, 0], model.weights[pairs[:, 1]])
         return {"score": 1 / (1 + np.exp(-np.clip(total, -35, 35)))}
 
-    return map_chunks(docs, keep, "text", work, "score double", lower=True)
+    return map_chunks(docs, keep, "text", work, "score double", lower="unicode")
 
 
 def classify(docs: DataFrame, labels: DataFrame, parts: int = 3, held: int = 1,
