@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from marketlake.llm import (
     decontaminate,
+    licenses,
     line_dedup,
     mixing,
     quality_classifier,
     quality_rules,
     simhash,
     toxicity,
+    warc,
 )
 from marketlake.session import use_utc
 
@@ -59,12 +61,23 @@ def op9(spark, sf):
     return quality_classifier.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query("op1_warc", warc.SQL)
+def op1(spark, sf):
+    return warc.archive_pages(table(spark, sf, "pages"), spark)
+
+
 @query("op2_line_dedup", line_dedup.SQL)
 def op2(spark, sf):
     found = line_dedup.deduplicate_lines(table(spark, sf, "documents"))
     return found.select("doc_id", "text", "lines_before", "lines_removed", "words_removed")
 
 
+@query("op3_license_scan")
+def op3(spark, sf):
+    docs = table(spark, sf, "documents")
+    return licenses.scan(docs, licenses.build_index(docs))
+
+
 @query("op4_mix_sources", mixing.SQL)
 def op4(spark, sf):
     return mixing.mix(table(spark, sf, "documents"))
