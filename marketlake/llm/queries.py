@@ -12,6 +12,7 @@ from marketlake.llm import (
     licenses,
     line_dedup,
     mixing,
+    pii,
     quality_classifier,
     quality_rules,
     simhash,
@@ -49,6 +50,12 @@ def op5(spark, sf):
     return quality_rules.with_verdict(table(spark, sf, "documents"))
 
 
+@query("op6_pii")
+def op6(spark, sf):
+    found = pii.find_personal_data(table(spark, sf, "documents"))
+    return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
 @query("op8_simhash")
 def op8(spark, sf):
     prints = simhash.fingerprints(table(spark, sf, "documents"), shingle=3)
