@@ -10,16 +10,15 @@ documents, so documents are never shuffled and a benchmark may be large.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from marketlake.llm.text import ALNUM, Chunk, ngrams, text_chunks
+from marketlake.llm.text import ALNUM, Chunk, filter_rows, ngrams, text_chunks
 
 SEED_WORDS = 3
 #: An n-gram is rare if this share of all documents holds it at most, or half of its item's n-grams are no rarer.
@@ -273,20 +272,17 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame,
                          threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` that hold no benchmark item; all columns stay as they are."""
     for block in _rare_blocks(docs, benchmark, "text"):
-        docs = docs.mapInArrow(_clean(block, threshold, docs.columns.index("text")),
-                               StructType(docs.schema.fields))
+        docs = filter_rows(docs, "text", _clean(block, threshold), lower="unicode")
     return docs
 
 
-def _clean(block: Block, threshold: float, text_at: int):
+def _clean(block: Block, threshold: float) -> Callable[[Chunk], np.ndarray]:
     maybe = block.bitmap()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = np.ones(batch.num_rows, bool)
-            for chunk in text_chunks(batch.column(text_at), lower="unicode"):
-                for d, *_ in find(block, maybe, chunk, threshold) if len(block.seeds) else []:
-                    keep[chunk.first_row + d] = False
-            yield batch.filter(pa.array(keep))
+    def keep(chunk: Chunk) -> np.ndarray:
+        clean = np.ones(chunk.n_docs, bool)
+        for doc, *_ in find(block, maybe, chunk, threshold) if len(block.seeds) else []:
+            clean[doc] = False
+        return clean
 
-    return run
+    return keep

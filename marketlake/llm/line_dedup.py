@@ -174,27 +174,41 @@ def deduplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     runs = repeated_runs(docs, min_words)
     gone = runs.groupBy(*_SEQ).agg(
         F.flatten(F.collect_list(F.sequence("start", F.col("stop") - 1))).alias("gone"))
-    gone = gone.withColumnsRenamed({c: f"_{c}" for c in _SEQ}).hint("shuffle_hash")
-    others = [c for c in docs.columns if c != "text"]
-    rows = docs.select(*[F.col(f"`{c}`") for c in others], F.split("text", "\n").alias("_lines"),
-                       F.xxhash64("text").alias("_hash"))
-    same = [rows["doc_id"].eqNullSafe(gone["_doc_id"]), rows["_hash"] == gone["_text_hash"]]
-    joined = rows.join(gone, same, "left")
-    count = F.coalesce(F.size("_lines"), F.lit(0))
+    gone = gone.withColumnsRenamed({"doc_id": "gone_id", "text_hash": "gone_hash"}).drop("late")
+    added = ["lines_before", "lines_removed", "words_removed"]
+    kept_columns = [c for c in docs.columns if c not in added]
+    # The array is built before the join, so the functions below do not split a text again.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept_columns if c != "text"]).alias("row"), F.col("doc_id").alias("id"),
+        F.split("text", "\n").alias("lines"), F.xxhash64("text").alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("hash") == F.col("gone_hash"))
+    joined = rows.join(gone.hint("shuffle_hash"), same, "left")
+    count = F.coalesce(F.size("lines"), F.lit(0))
     none = F.array().cast("array<int>")
     dropped = F.coalesce("gone", none)
     places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(none)
-    kept = F.transform(F.array_except(places, dropped), lambda k: F.get("_lines", k))
-    cut = F.transform(dropped, lambda k: F.get("_lines", k))
+    left = F.transform(F.array_except(places, dropped), lambda k: F.get("lines", k))
+    cut = F.transform(dropped, lambda k: F.get("lines", k))
+    text = F.when(F.col("gone").isNull(), F.array_join("lines", "\n")).otherwise(F.array_join(left, "\n"))
     return joined.select(
-        *[F.col(f"`{c}`") for c in others],
-        F.when(F.col("gone").isNull(), F.array_join("_lines", "\n"))
-        .otherwise(F.array_join(kept, "\n")).alias("text"),
+        *[(text if c == "text" else F.col("row").getField(c)).alias(c) for c in kept_columns],
         count.cast("long").alias("lines_before"), F.size(dropped).cast("long").alias("lines_removed"),
         F.regexp_count(F.array_join(cut, "\n"), F.lit(WORD)).cast("long").alias("words_removed"),
     )
 
 
+def cleaned_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` without repeated runs, its columns unchanged but ``text`` and ``n_chars``.
+
+    Documents that lose all their words go; ``n_chars`` is counted anew where lines went.
+    """
+    found = deduplicate_lines(docs, min_words)
+    empty = (F.col("lines_removed") > 0) & (F.regexp_count("text", F.lit(WORD)) == 0)
+    length = F.when(F.col("lines_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+    return found.filter(~empty).select(*[
+        length.cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+
+
 SQL = r"""with l as (
  select doc_id, string_split(text, chr(10)) as lines from documents where text is not null
 ), p as (

@@ -137,14 +137,13 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` that the mix takes, with ``mix_copies``: how often each is read.
 
     Thresholds come from the sizes; rows are then judged where they are read, so no text
-    is shuffled.
+    is shuffled.  A column of ``docs`` named ``mix_copies`` is replaced.
     """
-    limits = thresholds(sized_rows(docs)).withColumnsRenamed({"source": "_source"})
-    rows = docs.withColumns({"_size": _size(), "_mark": _mark()})
-    joined = rows.join(limits, rows["source"].eqNullSafe(limits["_source"]))
-    extra = (F.col("_mark") < F.col("cut")) | ((F.col("_mark") == F.col("cut")) & F.col("cut_taken"))
-    times = F.when(F.col("_size") > 0, F.col("copies") + extra.cast("long")).otherwise(F.lit(0).cast("long"))
-    return joined.withColumn("mix_copies", times).filter("mix_copies > 0").select(*docs.columns, "mix_copies")
+    limits = thresholds(sized_rows(docs))
+    kept = [c for c in docs.columns if c != "mix_copies"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("source").alias("source"),
+                       _size().alias("size"), _mark().alias("mark"))
+    return _take(rows, limits).filter("times > 0").select("row.*", F.col("times").alias("mix_copies"))
 
 
 SQL = r"""with d as (

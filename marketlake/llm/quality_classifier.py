@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.document_stats import measure
-from marketlake.llm.text import map_chunks
+from marketlake.llm.text import Chunk, filter_rows, map_chunks
 from marketlake.session import materialize
 
 FEATURES = [
@@ -62,26 +62,31 @@ def fold(id_col: str, parts: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts, F.lit(-1))
 
 
+def feature_table(chunk: Chunk) -> np.ndarray:
+    """A row of ``FEATURES`` a document of the chunk."""
+    m = {k: v.astype(np.float64) for k, v in measure(chunk).items()}
+    words = np.maximum(m["n_words"], 1)
+    letters = np.maximum(m["n_upper"] + m["n_lower"], 1)
+    share = lambda name, whole=words: np.sqrt(m[name] / whole)
+    return np.column_stack([
+        np.log1p(m["n_words"]), m["word_chars"] / words, share("n_symbols"),
+        share("n_dup_lines", np.maximum(m["n_lines"], 1)), share("n_repeat_words"),
+        share("n_upper", letters), share("n_digits"), share("n_shouts"), share("n_stops"),
+        share("n_high", np.maximum(m["word_chars"], 1)), share("n_short_words"),
+        m["n_distinct_words"] / words, share("n_top_word"), share("n_bare_symbols"),
+        np.log1p(m["longest_word"]), share("n_lines"), share("n_echoes"),
+    ])
+
+
 def text_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ``features``): statistics of every whole text; null and empty texts count as zero words.
 
     Only the two columns are read, so further columns and their names do not matter.
     """
-    def features(chunk):
-        m = {k: v.astype(np.float64) for k, v in measure(chunk).items()}
-        words = np.maximum(m["n_words"], 1)
-        letters = np.maximum(m["n_upper"] + m["n_lower"], 1)
-        share = lambda name, whole=words: np.sqrt(m[name] / whole)
-        table = np.column_stack([
-            np.log1p(m["n_words"]), m["word_chars"] / words, share("n_symbols"),
-            share("n_dup_lines", np.maximum(m["n_lines"], 1)), share("n_repeat_words"),
-            share("n_upper", letters), share("n_digits"), share("n_shouts"), share("n_stops"),
-            share("n_high", np.maximum(m["word_chars"], 1)), share("n_short_words"),
-            m["n_distinct_words"] / words, share("n_top_word"), share("n_bare_symbols"),
-            np.log1p(m["longest_word"]), share("n_lines"), share("n_echoes"),
-        ])
+    def features(chunk: Chunk) -> dict[str, pa.Array]:
+        table = feature_table(chunk)
+        at = np.arange(0, table.size + 1, len(FEATURES), dtype=np.int32)
         flat = pa.array(table.ravel().astype(np.float32))
-        at = np.arange(0, len(flat) + 1, len(FEATURES), dtype=np.int32)
         return {"features": pa.ListArray.from_arrays(pa.array(at), flat)}
 
     return map_chunks(docs, [id_col], text_col, features, "features array<float>")
@@ -200,15 +205,20 @@ def training_rows(features: DataFrame, labels: DataFrame, held_out: Column,
     return rows.withColumn("calibrate", F.pmod(F.xxhash64(id_col), F.lit(5)) == 0)
 
 
+def _fitted(docs: DataFrame, labels: DataFrame, parts: int, held: int) -> tuple[DataFrame, QualityModel]:
+    features = materialize(text_features(docs), "quality-features")
+    held_out = fold("doc_id", parts) == held
+    return features, fit(training_rows(features, labels, held_out), features)
+
+
 def classify(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0,
              threshold: float = 0.3) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``.
 
     Rows whose id has crc32 modulo ``parts`` equal to ``held`` never lend a label.
     """
-    features = materialize(text_features(docs), "quality-features")
+    features, model = _fitted(docs, labels, parts, held)
     held_out = fold("doc_id", parts) == held
-    model = fit(training_rows(features, labels, held_out), features)
     scored = _score_frame(features, model, "score", True)
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score",
@@ -216,3 +226,14 @@ def classify(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0,
     )
 
 
+
+
+def accepted(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0,
+             threshold: float = 0.3) -> DataFrame:
+    """Rows of ``docs`` that score ``threshold`` at least, with all their columns.
+
+    Rows are scored again where they are read, which costs time but moves no text.
+    """
+    _, model = _fitted(docs, labels, parts, held)
+    return filter_rows(docs, "text", lambda chunk: model.score(feature_table(chunk).astype(np.float32)
+                                                               .astype(np.float64)) >= threshold)

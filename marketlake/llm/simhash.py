@@ -144,7 +144,7 @@ def links(prints: DataFrame, max_bits: int = 2, width: int = 4) -> DataFrame:
 
 def near_duplicates(prints: DataFrame, max_bits: int = 2, width: int = 4,
                     id_col: str = "doc_id") -> DataFrame:
-    """(id, bits, component_id): the smallest id reachable over links, one row a row.
+    """(id, bits, root, component_id): the smallest fingerprint and id reachable over links.
 
     Rows with equal fingerprints form one class (a null or empty text has fingerprint
     zero and is linked like any other); classes are linked and their components found
@@ -157,8 +157,8 @@ def near_duplicates(prints: DataFrame, max_bits: int = 2, width: int = 4,
     labelled = classes.join(roots, classes["bits"] == roots["node"], "left").select(
         "bits", "smallest", F.coalesce("root", "bits").alias("root"))
     named = labelled.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    of_class = labelled.select("bits", "root").join(named, "root").select("bits", "component_id")
-    return rows.join(of_class, "bits").select(id_col, "bits", "component_id")
+    of_class = labelled.select("bits", "root").join(named, "root")
+    return rows.join(of_class, "bits").select(id_col, "bits", "root", "component_id")
 
 
 def to_hex(bits: Column) -> Column:
@@ -168,27 +168,24 @@ def to_hex(bits: Column) -> Column:
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """Rows of ``docs`` of which one stays for every group of near-duplicates.
 
-    The row with the smallest id stays; of rows with the same id and group, the one with
-    the smallest hash over all columns, and of fully equal rows one.
+    The row with the smallest id stays, a null id only where there is no other; of rows
+    with the same id and group the one with the smallest text hash, and of rows equal in
+    id and text any one.
     """
-    hashed = docs.select("doc_id", "text", row_hash_of(docs).alias("row_hash"))
-    rows = materialize(fingerprints(hashed, shingle, keep=("row_hash",)), "fingerprints")
-    groups = near_duplicates(rows, max_bits).select("bits", "component_id").distinct()
-    # groups has one row a distinct fingerprint
-    first = rows.join(groups, "bits").groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row_hash")).alias("r"),
-    ).select("r.doc_id", "r.row_hash")
-    copies = rows.groupBy("doc_id", "row_hash").agg(F.count(F.lit(1)).alias("n"))
-    kept = materialize(
-        first.join(copies, first["doc_id"].eqNullSafe(copies["doc_id"])
-                   & (first["row_hash"] == copies["row_hash"])).select(
-            first["doc_id"].alias("k"), first["row_hash"].alias("h"), "n"), "kept")
-    same = (docs["doc_id"].eqNullSafe(F.col("k"))) & (row_hash_of(docs) == F.col("h"))
-    single = docs.join(kept.filter("n = 1"), same, "left_semi")
-    repeated = docs.join(kept.filter("n > 1"), same, "left_semi").dropDuplicates()
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    rows = materialize(fingerprints(hashed, shingle, keep=("text_hash",)), "fingerprints")
+    # One row a distinct fingerprint.
+    roots = materialize(near_duplicates(rows, max_bits).select("bits", "root").distinct(), "components")
+    member = rows.join(roots, "bits").groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash")).alias("first"))
+    copies = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    first = member.select(F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
+    kept = materialize(first.join(copies, F.col("first_id").eqNullSafe(F.col("doc_id"))
+                                  & (F.col("first_hash") == F.col("text_hash"))).select(
+        "first_id", "first_hash", "n").distinct(), "kept")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"),
+                        F.xxhash64("text").alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("hash") == F.col("first_hash"))
+    single = whole.join(kept.filter("n = 1"), same, "left_semi").select("row.*")
+    repeated = whole.join(kept.filter("n > 1"), same, "left_semi").select("row.*").dropDuplicates(["doc_id", "text"])
     return single.unionByName(repeated)
-
-
-def row_hash_of(docs: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-

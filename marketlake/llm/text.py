@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 2_000_000
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -181,3 +182,16 @@ def map_chunks(df: DataFrame, keep: list[str], text: str,
     plain = df.select(*[df[c].alias(n) for n, c in zip(names, keep)], df[text].alias("text"))
     out = plain.mapInArrow(run, f"{kept}, {schema}" if kept else schema)
     return out.withColumnsRenamed(dict(zip(names, keep)))
+
+
+def filter_rows(df: DataFrame, text: str, keep: Callable[[Chunk], np.ndarray], lower: str = "") -> DataFrame:
+    """Rows of ``df`` whose text ``keep`` approves of (a boolean a document); no column changes."""
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [keep(chunk) for chunk in text_chunks(batch.column(at), lower)]
+            if kept:
+                yield batch.filter(pa.array(np.concatenate(kept)))
+
+    return df.mapInArrow(run, StructType(df.schema.fields))
