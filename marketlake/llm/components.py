@@ -9,7 +9,9 @@ from marketlake.session import materialize
 
 
 def _smallest(links: DataFrame) -> DataFrame:
-    return links.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    """(u, m), written, so that a join with it deals out the links of a very common node."""
+    found = links.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    return materialize(found, "smallest")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

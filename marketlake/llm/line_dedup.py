@@ -98,8 +98,8 @@ def _double(ranks: DataFrame, lines: int) -> DataFrame:
     place = F.struct(*_SEQ, "pos")
     shared = pairs.groupBy("rank", "next").agg(
         F.min(place).alias("least"), F.max(place).alias("most")).filter("least <> most")
-    numbered = shared.select("rank", "next").orderBy("rank", "next").withColumn(
-        "doubled", F.monotonically_increasing_id())
+    numbered = materialize(shared.select("rank", "next").orderBy("rank", "next").withColumn(
+        "doubled", F.monotonically_increasing_id()), "pairs")
     return pairs.join(numbered, ["rank", "next"]).select(*_SEQ, "pos", F.col("doubled").alias("rank"))
 
 
@@ -116,7 +116,8 @@ def _later_copies(windows: DataFrame, ranks: DataFrame, lines: int) -> DataFrame
     place = F.struct(*_SEQ, "start")
     keys = ["length", "first", "second"]
     origin = keyed.groupBy(*keys).agg(F.min(place).alias("least"), F.max(place).alias("most"))
-    repeated = origin.filter("least <> most").select(*keys, "least")
+    # Written, so that the join deals out a class with very many copies over several tasks.
+    repeated = materialize(origin.filter("least <> most").select(*keys, "least"), "classes")
     return keyed.join(repeated, keys).filter(place != F.col("least")).select(*_SEQ, "start", "length")
 
 

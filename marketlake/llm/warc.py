@@ -42,9 +42,12 @@ def plan_records(pages: DataFrame, record_id: Column, url: Column, payload: Colu
     body = F.coalesce(payload, F.lit(""))
     rows = pages.select(record_id.alias("record_id"), url.alias("url"), body.alias("payload"),
                         F.sha1(body.cast("binary")).alias("payload_digest"))
-    repeated = rows.filter(F.octet_length("payload") >= REVISIT_BYTES).groupBy("payload_digest").agg(
-        F.count(F.lit(1)).alias("n"), F.max("record_id").alias("origin")).filter("n > 1").select(
-        F.col("payload_digest").alias("shared"), "origin")
+    # Only payloads held twice, written: small tables are broadcast by their size, and a
+    # join with a large one deals out a very common payload over several tasks.
+    repeated = materialize(
+        rows.filter(F.octet_length("payload") >= REVISIT_BYTES).groupBy("payload_digest").agg(
+            F.count(F.lit(1)).alias("n"), F.max("record_id").alias("origin")).filter("n > 1").select(
+            F.col("payload_digest").alias("shared"), "origin"), "repeated-payloads")
     joined = rows.join(repeated, rows["payload_digest"] == repeated["shared"], "left")
     revisit = F.col("origin").isNotNull() & ~F.col("record_id").eqNullSafe(F.col("origin"))
     return joined.select(
