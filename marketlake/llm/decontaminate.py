@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from marketlake.llm.text import ALNUM, Chunk, filter_rows, ngrams, text_chunks
 
 SEED_WORDS = 3
-#: An n-gram is rare if this share of all documents holds it at most, or half of its item's n-grams are no rarer.
-RARE_SHARE = 0.0005
+#: An n-gram is rare if at most this share of all documents holds it, or if it is not much
+#: more frequent than its item's other n-grams: up to RARE_TIMES their upper quartile.  So
+#: every item keeps three quarters of its seeds, however often it was copied.
+RARE_SHARE, RARE_TIMES = 0.0005, 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Alignment score over the best score of the item.
 THRESHOLD = 0.5
@@ -134,15 +136,15 @@ def seed_counts(docs: DataFrame, block: Block, text_col: str = "text") -> tuple[
 
 
 def rare_only(block: Block, counts: np.ndarray, n_docs: int, share: float = RARE_SHARE) -> Block:
-    """The block with the rare seeds of each item; every item keeps at least half of its own."""
+    """The block with the rare seeds of each item."""
     per_place = np.repeat(counts, np.diff(block.first))
     seed_of = np.repeat(np.arange(len(block.seeds)), np.diff(block.first))
-    middle = np.zeros(len(block.words))
+    typical = np.zeros(len(block.words))
     order = np.argsort(block.place_item, kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(block.place_item[order])) + 1):
         if len(part):
-            middle[block.place_item[part[0]]] = np.sort(per_place[part])[(len(part) - 1) // 2]
-    keep = per_place <= np.maximum(middle[block.place_item], share * n_docs)
+            typical[block.place_item[part[0]]] = np.sort(per_place[part])[(3 * len(part) - 1) // 4]
+    keep = per_place <= np.maximum(RARE_TIMES * typical[block.place_item], max(share * n_docs, 1))
     used = np.unique(seed_of[keep])
     new = np.searchsorted(used, seed_of[keep])
     return Block(block.ids, block.words, block.seeds[used],

@@ -191,11 +191,12 @@ def deduplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     left = F.transform(F.array_except(places, dropped), lambda k: F.get("lines", k))
     cut = F.transform(dropped, lambda k: F.get("lines", k))
     text = F.when(F.col("gone").isNull(), F.array_join("lines", "\n")).otherwise(F.array_join(left, "\n"))
-    return joined.select(
-        *[(text if c == "text" else F.col("row").getField(c)).alias(c) for c in kept_columns],
-        count.cast("long").alias("lines_before"), F.size(dropped).cast("long").alias("lines_removed"),
-        F.regexp_count(F.array_join(cut, "\n"), F.lit(WORD)).cast("long").alias("words_removed"),
-    )
+    found = joined.select(
+        "row", text.alias("kept"), count.cast("long").alias("before"), F.size(dropped).cast("long").alias("removed"),
+        F.regexp_count(F.array_join(cut, "\n"), F.lit(WORD)).cast("long").alias("cut_words"))
+    columns = [(F.col("kept") if c == "text" else F.col("row").getField(c)).alias(c) for c in kept_columns]
+    numbers = [F.col(c).alias(name) for c, name in zip(("before", "removed", "cut_words"), added)]
+    return found.select(*columns, *numbers)
 
 
 def cleaned_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
