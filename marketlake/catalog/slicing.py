@@ -4,20 +4,22 @@ from pyspark.sql import functions as F
 
 from marketlake.catalog.aggregates import n_rows
 from marketlake.catalog.base import VAC, events, query, table, vacancies
-from marketlake.functions.times import from_zone, zone_day
+from marketlake.functions.times import zone_day
 from marketlake.operators.facets import filter_overlap
 from marketlake.operators.slices import (
     SPAN_WALK,
+    WalkRules,
     bisect_slices,
-    capped_rows,
     chunk_windows,
     daily_second_counts,
     drill_slices,
+    flag_beyond_cap,
     overlapping_slices,
     page_plan,
     rows_in_bisect_slices,
     rows_in_slices,
     walk_slices,
+    weekly_second_counts,
     with_pages,
 )
 from marketlake.plans.harvest import plan_days
@@ -55,33 +57,37 @@ def t1_rows(spark, sf):
 
 
 def _moscow_counts(ev):
-    day = zone_day(F.col("ts"))
-    return daily_second_counts(ev, F.col("ts"), day, from_zone(day.cast("timestamp_ntz")))
+    return daily_second_counts(ev, F.col("ts"))
 
 
 # One recursion step tries one window of every run: shrink it, or take it and move on.
-_SECONDS = """m as (select (ts at time zone 'UTC') at time zone 'Europe/Moscow' as msk from events),
-c as (select msk::date as run, epoch_us(msk) // 1000000 - epoch_us(msk::date::timestamp) // 1000000 as s,
+def _seconds_sql(unit):
+    run = f"date_trunc('{unit}', msk)::date"
+    return f"""m as (select (ts at time zone 'UTC') at time zone 'Europe/Moscow' as msk from events),
+c as (select {run} as run, epoch_us(msk) // 1000000 - epoch_us({run}::timestamp) // 1000000 as s,
   count(*) as n from m group by all)"""
 
 
-def _walk_sql(min_step, reset, grow_to, shrink):
-    return f"""with recursive {_SECONDS},
+_SECONDS = _seconds_sql("day")
+
+
+def _walk_sql(cap, min_step, reset, grow_below, grow_to, shrink="", unit="day", span=86400):
+    return f"""with recursive {_seconds_sql(unit)},
 w as (
   select run, 0::double as pos, 3600::double as step, -1::bigint as first_s, -1::bigint as last_s,
     0::bigint as found, false as taken from (select distinct run from c)
   union all
-  select run, case when found > {DAY_CAP} and step > {min_step} then pos else stop + 1 end,
-    case when found > {DAY_CAP} and step > {min_step} then step / 2
-      when found > {DAY_CAP} then {reset}
-      when found < 500 then {grow_to} {shrink} else step end,
-    first_s, last_s, found, found > 0 and not (found > {DAY_CAP} and step > {min_step})
-  from (select w.run, pos, step, least(pos + step, 86400) as stop, floor(pos)::bigint as first_s,
-      least(floor(least(pos + step, 86400)), 86399)::bigint as last_s, coalesce(sum(n), 0)::bigint as found
-    from w left join c on c.run = w.run and c.s between floor(w.pos) and least(floor(least(w.pos + w.step, 86400)), 86399)
-    where pos < 86400 group by w.run, pos, step))
+  select run, case when found > {cap} and step > {min_step} then pos else stop + 1 end,
+    case when found > {cap} and step > {min_step} then step / 2
+      when found > {cap} then {reset}
+      when found < {grow_below} then {grow_to} {shrink} else step end,
+    first_s, last_s, found, found > 0 and not (found > {cap} and step > {min_step})
+  from (select w.run, pos, step, least(pos + step, {span}) as stop, floor(pos)::bigint as first_s,
+      least(floor(least(pos + step, {span})), {span - 1})::bigint as last_s, coalesce(sum(n), 0)::bigint as found
+    from w left join c on c.run = w.run and c.s between floor(w.pos) and least(floor(least(w.pos + w.step, {span})), {span - 1})
+    where pos < {span} group by w.run, pos, step))
 select run, epoch_us(run::timestamp) // 1000000 - 10800 + first_s as first_second,
-  epoch_us(run::timestamp) // 1000000 - 10800 + last_s as last_second, found, found > {DAY_CAP} as over_cap,
+  epoch_us(run::timestamp) // 1000000 - 10800 + last_s as last_second, found, found > {cap} as over_cap,
   make_timestamp(epoch_us(run::timestamp) - 10800000000 + first_s * 1000000) as "start",
   make_timestamp(epoch_us(run::timestamp) - 10800000000 + last_s * 1000000) as "end"
 from w where taken"""
@@ -107,7 +113,9 @@ def t2(spark, sf):
     return overlapping_slices(_moscow_counts(events(spark, sf)), cap=DAY_CAP).drop("start", "end")
 
 
-@query("t2_overlap_deduplicated", "select count(*) as unique_cnt, sum(event_id)::bigint as id_sum, true as repeats_seen from events")
+@query("t2_overlap_deduplicated", f"""select count(*) as unique_cnt, sum(event_id)::bigint as id_sum,
+  (select sum(found)::bigint from ({_OVERLAP})) as fetched_cnt,
+  (select sum(found) from ({_OVERLAP})) > count(*) as repeats_seen from events""")
 def t2_dedup(spark, sf):
     from marketlake.operators.dedup import keep_latest
 
@@ -118,30 +126,63 @@ def t2_dedup(spark, sf):
     unique = keep_latest(rows, ["event_id"], [F.col("first_second")]).agg(
         n_rows("unique_cnt"), F.sum("event_id").alias("id_sum"))
     return unique.select(
-        "unique_cnt", "id_sum", (fetched >= F.col("unique_cnt")).alias("repeats_seen"))
+        "unique_cnt", "id_sum", fetched.alias("fetched_cnt"),
+        (fetched > F.col("unique_cnt")).alias("repeats_seen"))
+
 
+_DAY_GROWTH = "case when step < 86400 then step * 2 else step end"
 
-@query("t3_adaptive_walk", _walk_sql(60, 3600, "case when step < 86400 then step * 2 else step end", ""))
+
+@query("t3_adaptive_walk", _walk_sql(DAY_CAP, 60, 3600, 500, _DAY_GROWTH))
 def t3(spark, sf):
     return plan_days(events(spark, sf), F.col("ts"), cap=DAY_CAP)
 
 
-@query("t3_span_walk", _walk_sql(30, "step", "least(step * 2, 604800)", "when found > 1500 then step * 0.8"))
+# With fewer rows a day than 500, a lower bound shows windows that stay as wide as they are.
+@query("t3_steady_walk", _walk_sql(DAY_CAP, 60, 3600, 25, _DAY_GROWTH))
+def t3_steady(spark, sf):
+    return plan_days(events(spark, sf), F.col("ts"), cap=DAY_CAP, rules=WalkRules(grow_below=25))
+
+
+SPAN_CAP = 2000
+
+
+@query("t3_span_walk", _walk_sql(SPAN_CAP, 30, "step", 500, "least(step * 2, 604800)",
+                                 "when found > 1500 then step * 0.8", "week", 604800))
 def t3_span(spark, sf):
-    return walk_slices(_moscow_counts(events(spark, sf)), cap=DAY_CAP, rules=SPAN_WALK)
+    counts = weekly_second_counts(events(spark, sf), F.col("ts"))
+    return walk_slices(counts, cap=SPAN_CAP, rules=SPAN_WALK)
 
 
-@query("t3_walk_invariant", """with m as (select cast((ts at time zone 'UTC') at time zone 'Europe/Moscow' as date) as run from events)
-select run, count(*) as found, count(*) as row_cnt, true as within_cap from m group by 1""")
-def t3_invariant(spark, sf):
-    ev = events(spark, sf)
-    slices = plan_days(ev, F.col("ts"), cap=DAY_CAP)
+_MOSCOW_DAYS = """with m as (select cast((ts at time zone 'UTC') at time zone 'Europe/Moscow' as date) as run from events)
+select run, count(*) as found, count(*) as row_cnt, true as within_cap from m group by 1"""
+
+
+def _plan_against_rows(rows, ts, cap, zone="Europe/Moscow"):
+    slices = plan_days(rows, ts, cap=cap, zone=zone)
     planned = slices.groupBy("run").agg(
         F.sum("found").alias("found"),
-        F.bool_and((F.col("found") <= DAY_CAP) | F.col("over_cap")).alias("within_cap"))
-    rows = rows_in_slices(ev.select("ts"), F.col("ts"), zone_day(F.col("ts")), slices).groupBy("run").agg(
-        n_rows("row_cnt"))
-    return planned.join(rows, "run")
+        F.bool_and((F.col("found") <= cap) | F.col("over_cap")).alias("within_cap"))
+    met = rows_in_slices(rows, ts, zone_day(ts, zone), slices).groupBy("run").agg(n_rows("row_cnt"))
+    return planned.join(met.withColumnRenamed("run", "_run"),
+                        F.col("run").eqNullSafe(F.col("_run"))).drop("_run")
+
+
+@query("t3_walk_invariant", _MOSCOW_DAYS)
+def t3_invariant(spark, sf):
+    return _plan_against_rows(events(spark, sf).select("ts"), F.col("ts"), DAY_CAP)
+
+
+# Seven years of days in a zone whose days last 23, 24 or 25 hours; one key in 50 has no time.
+@query("t3_days_of_any_length", """with o as (select case when o_orderkey % 50 <> 0 then
+    o_orderdate + to_hours(cast(o_orderkey % 24 as int)) + to_minutes(cast(o_orderkey % 60 as int)) end as ts from orders)
+select cast((ts at time zone 'UTC') at time zone 'Europe/Berlin' as date) as run, count(*) as found, count(*) as row_cnt,
+  true as within_cap from o group by 1""")
+def t3_any_length(spark, sf):
+    ts = F.col("o_orderdate") + F.make_dt_interval(
+        F.lit(0), (F.col("o_orderkey") % 24).cast("int"), (F.col("o_orderkey") % 60).cast("int"))
+    rows = table(spark, sf, "orders").select(F.when(F.col("o_orderkey") % 50 != 0, ts).alias("ts"))
+    return _plan_against_rows(rows, F.col("ts"), 3, "Europe/Berlin")
 
 
 # Days over 330 rows are cut by event type, and types over 66 by user bucket.
@@ -170,12 +211,11 @@ def t4_deep(spark, sf):
 
 
 @query("t5_hard_cap", """select ts::date as day, event_id, count(*) over (partition by ts::date) as found,
-  greatest(count(*) over (partition by ts::date) - 300, 0) as lost from events
-qualify row_number() over (partition by ts::date order by ts, event_id) <= 300""")
+  row_number() over (partition by ts::date order by epoch_us(ts) // 1000000, md5(event_id::varchar), event_id) > 300 as beyond_cap
+from events""")
 def t5(spark, sf):
     ev = events(spark, sf).select(F.to_date("ts").alias("day"), "ts", "event_id")
-    return capped_rows(ev, ["day"], 300, [F.col("ts"), F.col("event_id")],
-                       F.col("event_id")).drop("ts")
+    return flag_beyond_cap(ev, ["day"], 300, F.col("ts"), F.col("event_id")).drop("ts")
 
 
 @query("t6_page_fan_out", """select day, (rn - 1) // 100 as page, count(*) as row_cnt, cast(sum(event_id) as bigint) as id_sum from (
@@ -197,7 +237,7 @@ def t6_hot(spark, sf):
 
 
 @query("t6_page_plan", """select day, found, pages, unnest(range(0, pages)) as page from (
-  select ts::date as day, count(*) as found, cast(ceil(least(count(*), 2000) / 100) as bigint) as pages
+  select ts::date as day, count(*) as found, cast(ceil(count(*) / 100) as bigint) as pages
   from events group by 1)""")
 def t6_plan(spark, sf):
     found = events(spark, sf).groupBy(F.to_date("ts").alias("day")).agg(n_rows("found"))
@@ -205,8 +245,8 @@ def t6_plan(spark, sf):
 
 
 @query("t7_chunks", """with s as (select min(o_orderdate) as lo, max(o_orderdate) as hi from orders)
-select i as chunk, lo + to_days(cast(30 * i as int)) as "start", least(lo + to_days(cast(30 * (i + 1) as int)), hi) as "end"
-from s, (select unnest(range(0, 2000)) as i) where lo + to_days(cast(30 * i as int)) < hi""")
+select i as chunk, lo + to_days(cast(30 * i as int)) as "start", least(lo + to_days(cast(30 * (i + 1) as int)), hi + interval 1 microsecond) as "end"
+from s, (select unnest(range(0, 2000)) as i) where lo + to_days(cast(30 * i as int)) <= hi""")
 def t7(spark, sf):
     return chunk_windows(table(spark, sf, "orders"), F.col("o_orderdate"))
 

@@ -3,7 +3,8 @@
 All planners work on counts: rows are reduced to one count per (run, second) or
 (root, cell) with partial counts in every task, and only that small table is
 planned over.  No slice with rows is ever left out; one that cannot be cut further
-is kept and flagged ``over_cap``.  Rows without a time belong to no slice.
+is kept and flagged ``over_cap``.  Rows without a time form one slice of their own,
+whose run, bounds and node are NULL.
 """
 
 from __future__ import annotations
@@ -18,15 +19,25 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from marketlake.functions.times import micros, of_micros, of_seconds, seconds
+from pyspark.sql import types as T
+
+from marketlake.functions.times import (
+    MOSCOW,
+    from_zone,
+    in_zone,
+    micros,
+    of_micros,
+    of_seconds,
+    seconds,
+    zone_day,
+)
 from marketlake.operators.joins import (
     HOT_ROWS,
     join_group_sizes,
     join_null_safe,
     split_hot,
 )
-from marketlake.operators.topk import first_n_per_group
+from marketlake.session import materialize
 
 # The planners travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,21 +53,23 @@ def chunk_windows(df: DataFrame, ts: Column, small_days: int = 15,
     """(chunk, start, end) covering the range of ``ts`` in fixed chunks.
 
     Chunks are ``large_days`` long when the range exceeds ``small_days``, otherwise
-    ``small_days``; the last one ends at the range's end.
+    ``small_days``.  Ends are exclusive: the last one lies a microsecond after the newest
+    row, so every row with a time is in exactly one chunk.
     """
-    span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
+    span = df.agg(F.min(ts).cast("timestamp_ntz").alias("lo"), F.max(ts).cast("timestamp_ntz").alias("hi"))
     day = F.expr("interval 1 day")
     days = F.when(F.col("hi") - F.col("lo") > day * small_days, large_days).otherwise(small_days)
     step = F.make_dt_interval(days, F.lit(0), F.lit(0), F.lit(0))
     starts = F.filter(
         F.sequence(F.col("lo"), F.col("hi"), step),
-        lambda s: (s < F.col("hi")) | (s == F.col("lo")),
+        lambda s: s <= F.col("hi"),
     )
     return (
         span.select("hi", step.alias("step"), F.posexplode(starts).alias("chunk", "start"))
         .select(
             F.col("chunk").cast("bigint").alias("chunk"), "start",
-            F.least(F.col("start") + F.col("step"), F.col("hi")).alias("end"),
+            F.least(F.col("start") + F.col("step"), F.col("hi") + F.expr("interval 1 microsecond"))
+            .alias("end"),
         )
     )
 
@@ -88,15 +101,20 @@ def bisect_slices(df: DataFrame, ts: Column, cap: int, span_seconds: int = DAY_S
     """(root, level, node, start, end, found, over_cap): halve spans down to ``cap`` rows.
 
     A node is a slice when it fits the cap and its parent does not.  Counts of all
-    levels come from one count per finest cell.
+    levels come from one count per finest cell.  Rows without a time are one slice with
+    a NULL root.
     """
     depth = bisection_depth(span_seconds, min_seconds)
-    cells = (
-        _with_cells(
-            df.filter(ts.isNotNull()).select(ts.alias("_ts")), F.col("_ts"), span_seconds, depth
-        )
+    counted = (
+        _with_cells(df.select(ts.alias("_ts")), F.col("_ts"), span_seconds, depth)
         .groupBy("root", "cell").agg(F.count(F.lit(1)).alias("n"))
     )
+    cells = counted.filter("root is not null")
+    timeless = counted.filter("root is null").select(
+        "root", F.lit(0).cast("bigint").alias("level"), F.col("cell").alias("node"),
+        F.col("root").alias("start"), F.col("root").alias("end"),
+        F.col("n").alias("found"), (F.col("n") > cap).alias("over_cap"),
+    )
     nodes = (
         cells.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth))))
         .withColumn("node", F.expr(f"shiftright(cell, {depth} - level)"))
@@ -106,7 +124,7 @@ def bisect_slices(df: DataFrame, ts: Column, cap: int, span_seconds: int = DAY_S
     too_big = F.col("found") > cap
     parent_too_big = (F.col("level") == 0) | (F.sum("found").over(siblings) > cap)
     width = F.expr(f"{span_seconds * 1_000_000}L / power(2, level)")
-    return (
+    cut = (
         nodes.withColumn("_split", parent_too_big)
         .filter(F.col("_split") & (~too_big | (F.col("level") == depth)))
         .select(
@@ -116,6 +134,7 @@ def bisect_slices(df: DataFrame, ts: Column, cap: int, span_seconds: int = DAY_S
             "found", too_big.alias("over_cap"),
         )
     )
+    return cut.unionByName(timeless)
 
 
 def rows_in_bisect_slices(df: DataFrame, ts: Column, slices: DataFrame,
@@ -125,15 +144,17 @@ def rows_in_bisect_slices(df: DataFrame, ts: Column, slices: DataFrame,
 
     Every slice is spread to the finest cells it covers (at most ``2**depth`` a root),
     which turns the range join into an equality join; a slice that is over the cap
-    has one cell, and a very large one is joined by broadcast.
+    has one cell.  Rows without a time meet the slice with a NULL root.
     """
     depth = bisection_depth(span_seconds, min_seconds)
     scale = f"shiftleft(1L, cast({depth} - level as int))"
     cells = slices.select(
         "root", "level", "node", "found",
-        F.explode(F.expr(f"sequence(node * {scale}, (node + 1) * {scale} - 1)")).alias("cell"),
+        F.explode(F.expr(
+            f"if(root is null, array(cast(null as bigint)), sequence(node * {scale}, (node + 1) * {scale} - 1))"
+        )).alias("cell"),
     )
-    rows = _with_cells(df.filter(ts.isNotNull()), ts, span_seconds, depth)
+    rows = _with_cells(df, ts, span_seconds, depth)
     return join_group_sizes(rows, cells, ["root", "cell"], "found", hot_rows).drop("cell", "found")
 
 
@@ -220,7 +241,7 @@ def _halve_with_overlap(counts: _Counts, start: float, end: float, cap: int,
             todo += [(mid - over, hi), (lo, mid + over)]
 
 
-def _plan(counts: DataFrame, planner) -> DataFrame:
+def _plan(counts: DataFrame, cap: int, planner) -> DataFrame:
     """Run a planner over each run's counts; the only Python step, on counts alone."""
     run_type = counts.schema["run"].dataType.simpleString()
 
@@ -230,33 +251,65 @@ def _plan(counts: DataFrame, planner) -> DataFrame:
         out.insert(0, "run", pdf["run"].iloc[0])
         return out
 
-    planned = counts.groupBy("run").applyInPandas(one_run, f"run {run_type}, {_SLICE_SCHEMA}")
-    return planned.withColumn("start", of_seconds(F.col("first_second"))).withColumn(
-        "end", of_seconds(F.col("last_second"))
+    timed = counts.filter("second is not null")
+    planned = timed.groupBy("run").applyInPandas(one_run, f"run {run_type}, {_SLICE_SCHEMA}")
+    none = F.lit(None).cast("bigint")
+    timeless = counts.filter("second is null").groupBy().agg(F.sum("n").alias("found")).filter(
+        "found is not null").select(
+        F.lit(None).cast(run_type).alias("run"), none.alias("first_second"),
+        none.alias("last_second"), "found", (F.col("found") > cap).alias("over_cap"),
     )
+    return planned.unionByName(timeless).withColumn(
+        "start", of_seconds(F.col("first_second"))
+    ).withColumn("end", of_seconds(F.col("last_second")))
 
 
-def daily_second_counts(df: DataFrame, utc: Column, day: Column, day_start: Column) -> DataFrame:
-    """Per-second counts of daily runs with each run's start and end second."""
-    start = seconds(day_start)
+def second_counts(df: DataFrame, utc: Column, run: Column, start: Column,
+                  end: Column) -> DataFrame:
+    """(run, second, start, end, n): counts a second, with the second each run begins at
+    and the second it ends before.
+
+    ``start`` and ``end`` are UTC times of the run's bounds.  Rows without a time are
+    counted under a NULL second.
+    """
     return (
-        df.filter(utc.isNotNull())
-        .select(day.alias("run"), seconds(utc).alias("second"), start.alias("start"))
-        .groupBy("run", "second", "start").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("end", F.col("start") + DAY_SECONDS)
+        df.select(run.alias("run"), seconds(utc).alias("second"), seconds(start).alias("start"),
+                  seconds(end).alias("end"))
+        .groupBy("run", "second", "start", "end").agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def daily_second_counts(df: DataFrame, utc: Column, zone: str = MOSCOW) -> DataFrame:
+    """Counts of calendar days of ``zone``, which may last 23 or 25 hours."""
+    day = zone_day(utc, zone)
+    return second_counts(
+        df, utc, day, from_zone(day.cast("timestamp_ntz"), zone),
+        from_zone(F.date_add(day, 1).cast("timestamp_ntz"), zone),
+    )
+
+
+def weekly_second_counts(df: DataFrame, utc: Column, zone: str = MOSCOW) -> DataFrame:
+    """Counts of weeks of ``zone`` from Monday on, the unit of the long walk.
+
+    A walk is sequential, so its unit is bounded: 604 800 seconds, give or take an hour.
+    """
+    week = F.to_date(F.date_trunc("week", in_zone(utc, zone)))
+    return second_counts(
+        df, utc, week, from_zone(week.cast("timestamp_ntz"), zone),
+        from_zone(F.date_add(week, 7).cast("timestamp_ntz"), zone),
     )
 
 
 def walk_slices(counts: DataFrame, cap: int = 2000, rules: WalkRules = DAILY_WALK) -> DataFrame:
     """Adaptive walk over each run: (run, first_second, last_second, found, over_cap, start, end)."""
-    return _plan(counts, lambda c, start, end: _walk(c, start, end, cap, rules))
+    return _plan(counts, cap, lambda c, start, end: _walk(c, start, end, cap, rules))
 
 
 def overlapping_slices(counts: DataFrame, cap: int = 2000, min_seconds: int = 300,
                        overlap_seconds: int = 300) -> DataFrame:
     """Recursive halves that overlap around the cut; rows near a cut are in both."""
     return _plan(
-        counts,
+        counts, cap,
         lambda c, start, end: _halve_with_overlap(
             c, start, end - 1, cap, min_seconds, overlap_seconds
         ),
@@ -264,25 +317,31 @@ def overlapping_slices(counts: DataFrame, cap: int = 2000, min_seconds: int = 30
 
 
 def rows_in_slices(df: DataFrame, utc: Column, run: Column, slices: DataFrame,
-                   grid_seconds: int = 60) -> DataFrame:
-    """Rows with the slice(s) they fall in.
+                   grid_seconds: int = 60, salts: int = 8) -> DataFrame:
+    """Rows with the slice(s) they fall in; rows without a time meet the timeless slice.
 
     Slices are spread to the grid steps they touch, so the range join becomes an
     equality join on (run, step) with the exact bounds checked inside it.  There are
-    1 440 one-minute steps a day, whatever the number of rows.
+    about 1 440 one-minute steps a day, whatever the number of rows; every step is
+    repeated ``salts`` times and the rows of a busy minute are dealt over the copies.
     """
-    step = lambda second: F.floor(second / grid_seconds)
+    def step(second: Column) -> Column:
+        return F.coalesce(F.floor(second / grid_seconds), F.lit(_NO_TIME))
+
+    first, last = F.col("first_second"), F.col("last_second")
     by_step = slices.select(
         F.col("run").alias("_run"), "first_second", "last_second", "over_cap",
-        F.explode(F.sequence(step(F.col("first_second")), step(F.col("last_second")))).alias("_at"),
-    )
-    rows = df.withColumns({"run": run, "_second": seconds(utc)})
+        F.explode(F.sequence(step(first), step(last))).alias("_at"),
+    ).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    plain = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    rows = df.withColumns({"run": run, "_second": seconds(utc),
+                           "_salt": F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")})
     inside = (
-        (F.col("run") == F.col("_run"))
-        & (step(F.col("_second")) == F.col("_at"))
-        & F.col("_second").between(F.col("first_second"), F.col("last_second"))
+        F.col("run").eqNullSafe(F.col("_run"))
+        & (step(F.col("_second")) == F.col("_at")) & (F.col("_salt") == F.col("_copy"))
+        & (F.col("first_second").isNull() | F.col("_second").between(first, last))
     )
-    return rows.join(by_step, inside).drop("_run", "_at", "_second")
+    return rows.join(by_step, inside).drop("_run", "_at", "_second", "_salt", "_copy")
 
 
 # ---- beyond time: dimensions, caps and pages --------------------------------
@@ -314,18 +373,15 @@ def drill_slices(df: DataFrame, slice_keys: list[str], dims: dict[str, Column],
     )
 
 
-def capped_rows(df: DataFrame, keys: list[str], cap: int, order: list[Column],
-                spread_by: Column) -> DataFrame:
-    """The first ``cap`` rows of each slice with ``found`` and ``lost`` of that slice.
+def flag_beyond_cap(df: DataFrame, keys: list[str], cap: int, ts: Column, key: Column) -> DataFrame:
+    """All rows, with ``found`` of their slice and ``beyond_cap`` for those after the first ``cap``.
 
-    This is the reporting form of a hard service limit; jobs that must stay whole use
-    ``number_rows``, which pages over-cap slices too.
+    This is the reporting form of a hard service limit: what the limit would hide is
+    marked, and no row is left out.
     """
-    kept = first_n_per_group(df, keys, cap, order, spread_by)
-    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("found"))
-    return join_null_safe(kept, found, keys).withColumn(
-        "lost", F.greatest(F.col("found") - cap, F.lit(0)).cast("bigint")
-    )
+    found = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("found")), "found")
+    numbered = number_rows(df, keys, ts, key)
+    return join_null_safe(numbered, found, keys).withColumn("beyond_cap", F.col("rn") > cap).drop("rn")
 
 
 def number_rows(df: DataFrame, keys: list[str], ts: Column, key: Column,
@@ -337,10 +393,11 @@ def number_rows(df: DataFrame, keys: list[str], ts: Column, key: Column,
     only inside (second, first hash characters), and each such bin starts at the
     number of rows in the days, seconds and bins before it.
     """
-    # Rows without a time come first, rows without a key first in their second.
+    # Rows without a time come first, rows without a key first in their second, by their content.
+    row_text = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     ordered = df.withColumns({
         "_sec": F.coalesce(seconds(ts), F.lit(_NO_TIME)),
-        "_hash": F.coalesce(F.md5(key.cast("string")), F.lit("")),
+        "_hash": F.coalesce(F.md5(key.cast("string")), F.concat(F.lit(" "), row_text)),
     })
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     hot, rest = split_hot(ordered, sizes, keys, "_size", hot_rows)
@@ -388,9 +445,9 @@ def with_pages(df: DataFrame, keys: list[str], ts: Column, key: Column, per_page
     return numbered.withColumn("page", F.floor((F.col("rn") - 1) / per_page).cast("bigint"))
 
 
-def page_plan(found: DataFrame, depth: int = 2000, per_page: int = 100) -> DataFrame:
-    """Pages per slice, ``ceil(min(found, depth) / per_page)``, one row per page."""
-    pages = F.ceil(F.least(F.col("found"), F.lit(depth)) / per_page)
-    return found.withColumn("pages", pages.cast("bigint")).withColumn(
+def page_plan(found: DataFrame, per_page: int = 100) -> DataFrame:
+    """One row a page: ``pages`` is ``ceil(found / per_page)``; an empty slice has none."""
+    pages = F.ceil(F.col("found") / per_page).cast("bigint")
+    return found.withColumn("pages", pages).filter("pages > 0").withColumn(
         "page", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pages") - 1))
     )

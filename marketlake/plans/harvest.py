@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.times import MOSCOW, from_zone, zone_day
+from marketlake.functions.times import MOSCOW, zone_day
 from marketlake.session import materialize
 from marketlake.operators.slices import (
     DAILY_WALK,
@@ -20,10 +20,8 @@ from marketlake.operators.slices import (
 
 def plan_days(df: DataFrame, utc: Column, cap: int, rules: WalkRules = DAILY_WALK,
               zone: str = MOSCOW) -> DataFrame:
-    """Adaptive slices of every calendar day of ``zone``."""
-    day = zone_day(utc, zone)
-    counts = daily_second_counts(df, utc, day, from_zone(day.cast("timestamp_ntz"), zone))
-    return walk_slices(counts, cap, rules)
+    """Adaptive slices of every calendar day of ``zone``, and one of the rows without a time."""
+    return walk_slices(daily_second_counts(df, utc, zone), cap, rules)
 
 
 def batch_rows(df: DataFrame, utc: Column, key: Column, dims: dict[str, Column], cap: int,
@@ -32,7 +30,7 @@ def batch_rows(df: DataFrame, utc: Column, key: Column, dims: dict[str, Column],
     """Rows with the (run, first_second, dims..., page) unit each belongs to.
 
     Slices over the cap are cut by ``dims``; a unit that is still over it gets more
-    pages, so no row is lost.
+    pages, so no row is lost.  Rows without a time are a unit with a NULL run.
     """
     slices = materialize(plan_days(df, utc, cap, rules, zone), "slices")
     rows = rows_in_slices(df, utc, zone_day(utc, zone), slices)
@@ -46,7 +44,7 @@ def batch_rows(df: DataFrame, utc: Column, key: Column, dims: dict[str, Column],
     depth = materialize(
         drilled.select(*slice_keys, *[F.col(n).alias(f"_{n}") for n in names], "depth"), "drilled"
     )
-    same = [F.col(f"r.{k}") == F.col(f"d.{k}") for k in slice_keys] + [
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"d.{k}")) for k in slice_keys] + [
         (F.col("d.depth") <= i) | F.col(f"r.{n}").eqNullSafe(F.col(f"d._{n}"))
         for i, n in enumerate(names)
     ]

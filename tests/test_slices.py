@@ -6,21 +6,22 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.functions.times import from_zone, zone_day
+from marketlake.functions.times import zone_day
 from marketlake.operators.slices import (
     DAILY_WALK,
     SPAN_WALK,
     bisect_slices,
-    capped_rows,
     chunk_windows,
     daily_second_counts,
     drill_slices,
+    flag_beyond_cap,
     number_rows,
     overlapping_slices,
     page_plan,
     rows_in_bisect_slices,
     rows_in_slices,
     walk_slices,
+    weekly_second_counts,
     with_pages,
 )
 from marketlake.plans.harvest import batch_rows
@@ -42,8 +43,7 @@ def events(spark):
 
 
 def counts(df):
-    day = zone_day(F.col("ts"))
-    return daily_second_counts(df, F.col("ts"), day, from_zone(day.cast("timestamp_ntz")))
+    return daily_second_counts(df, F.col("ts"))
 
 
 @pytest.mark.parametrize("rules", [DAILY_WALK, SPAN_WALK])
@@ -91,10 +91,38 @@ def test_bisection_matches_recursion(events):
         assert sizes.join(slices, ["root", "level", "node"]).filter("n <> found").count() == 0
 
 
-def test_rows_without_a_time_are_in_no_slice(spark, events):
-    odd = events.union(spark.sql("select 9999L, cast(null as timestamp_ntz), 'a', 1"))
-    assert bisect_slices(odd, F.col("ts"), CAP).agg(F.sum("found")).first()[0] == events.count()
-    assert walk_slices(counts(odd), CAP).agg(F.sum("found")).first()[0] == events.count()
+def test_rows_without_a_time_are_a_slice_of_their_own(spark, events):
+    odd = events.union(spark.sql("select 9990L + id, cast(null as timestamp_ntz), 'a', 1 from range(30)"))
+    total = events.count() + 30
+    bisected = bisect_slices(odd, F.col("ts"), CAP)
+    assert bisected.agg(F.sum("found")).first()[0] == total
+    assert rows_in_bisect_slices(odd, F.col("ts"), bisected).count() == total
+    walked = walk_slices(counts(odd), CAP)
+    assert walked.agg(F.sum("found")).first()[0] == total
+    timeless = walked.filter("run is null").collect()
+    assert [(r["found"], r["over_cap"], r["start"]) for r in timeless] == [(30, True, None)]
+    rows = rows_in_slices(odd, F.col("ts"), zone_day(F.col("ts")), walked)
+    assert rows.count() == rows.select("id").distinct().count() == total
+    out = batch_rows(odd, F.col("ts"), F.col("id"), {"kind": F.col("kind")}, CAP, per_page=7)
+    assert out.count() == total and out.filter("run is null").count() == 30
+
+
+@pytest.mark.parametrize("day,hours", [(dt.date(2014, 10, 26), 25), (dt.date(2011, 3, 27), 23), (dt.date(2024, 1, 5), 24)])
+def test_days_of_23_and_25_hours_are_whole(spark, day, hours):
+    """Every ten minutes of a Moscow day around a change of its offset."""
+    noon = dt.datetime.combine(day, dt.time(9))
+    stamps = [noon + dt.timedelta(minutes=10 * k) for k in range(-144, 145)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(stamps)], "id long, ts timestamp_ntz")
+    df = df.filter(zone_day(F.col("ts")) == F.lit(day))
+    assert df.count() == 6 * hours
+    for slices in (walk_slices(counts(df), CAP), overlapping_slices(counts(df), CAP),
+                   walk_slices(weekly_second_counts(df, F.col("ts")), CAP, SPAN_WALK)):
+        run = zone_day(F.col("ts")) if slices.first()["run"] == day else F.lit(slices.first()["run"])
+        rows = rows_in_slices(df, F.col("ts"), run, slices)
+        assert rows.select("id").distinct().count() == 6 * hours
+    assert walk_slices(counts(df), CAP).agg(F.sum("found")).first()[0] == 6 * hours
+    out = batch_rows(df, F.col("ts"), F.col("id"), {}, CAP, per_page=7)
+    assert out.count() == 6 * hours
 
 
 def test_drill_keeps_null_buckets(events):
@@ -125,23 +153,24 @@ def test_pages_hold_each_row_once(events):
     assert sizes.agg(F.max("count"), F.sum("count")).first() == (10, events.count())
 
 
-def test_hard_cap_reports_the_loss(events):
+def test_rows_beyond_a_hard_cap_are_marked(events):
     df = events.withColumn("day", F.to_date("ts"))
-    out = capped_rows(df, ["day"], 50, [F.col("ts"), F.col("id")], F.col("id")).collect()
-    by_day = {}
-    for r in df.collect():
-        by_day.setdefault(r["day"], []).append((r["ts"], r["id"]))
-    for day, all_rows in by_day.items():
-        kept = sorted((r["ts"], r["id"]) for r in out if r["day"] == day)
-        assert kept == sorted(all_rows)[:50]
-        lost = {r["lost"] for r in out if r["day"] == day}
-        assert lost == {max(len(all_rows) - 50, 0)}
+    out = flag_beyond_cap(df, ["day"], 50, F.col("ts"), F.col("id")).collect()
+    assert len(out) == df.count()
+    for day in {r["day"] for r in out}:
+        mine = [r for r in out if r["day"] == day]
+        kept = [r for r in mine if not r["beyond_cap"]]
+        assert len(kept) == min(50, len(mine)) and {r["found"] for r in mine} == {len(mine)}
+        second = lambda r: r["ts"].replace(microsecond=0)
+        rest = [second(r) for r in mine if r["beyond_cap"]]
+        assert not rest or max(map(second, kept)) <= min(rest)
 
 
-def test_page_plan_stops_at_depth(spark):
-    found = spark.createDataFrame([(1, 1), (2, 100), (3, 101), (4, 99999)], "k int, found long")
-    got = {r["k"]: r["n"] for r in page_plan(found).groupBy("k").agg(F.count("*").alias("n")).collect()}
-    assert got == {1: 1, 2: 1, 3: 2, 4: 20}
+def test_page_plan_covers_all_rows(spark):
+    found = spark.createDataFrame([(0, 0), (1, 1), (2, 100), (3, 101), (4, 5000)], "k int, found long")
+    got = {r["k"]: (r["n"], r["lo"]) for r in page_plan(found).groupBy("k").agg(
+        F.count("*").alias("n"), F.min("page").alias("lo")).collect()}
+    assert got == {1: (1, 0), 2: (1, 0), 3: (2, 0), 4: (50, 0)}
 
 
 def test_chunks_choose_their_length(spark):
@@ -153,8 +182,8 @@ def test_chunks_choose_their_length(spark):
                 for r in chunk_windows(df, F.col("ts")).orderBy("chunk").collect()]
 
     assert chunks(10) == [(1, 10)]
-    assert chunks(15) == [(1, 15)]
-    assert chunks(70)[0] == (1, 30) and sum(n for _, n in chunks(70)) == 70
+    assert chunks(15) == [(1, 15), (16, 0)]
+    assert chunks(70)[0] == (1, 30) and sum(n for _, n in chunks(70)) == 70  # and a microsecond
 
 
 def test_batches_keep_every_row(events):
