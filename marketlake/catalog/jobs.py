@@ -20,7 +20,7 @@ from marketlake.plans.historical import Dump, consolidate
 from marketlake.plans.marts import top_terms
 from marketlake.plans.profile import list_reports, profile_silver
 from marketlake.plans.reconcile import copies_of_top_key, repeats_by_date
-from marketlake.plans.silver import bronze_to_silver, clean_any, enrich
+from marketlake.plans.silver import bronze_to_silver, clean_any, enrich, silver_run
 from marketlake.sinks.writers import write_jsonl_batches, write_parquet
 from marketlake.sources.jsonl import scan_jsonl
 from marketlake.sources.tables import scan_partitioned
@@ -73,16 +73,44 @@ def c1_damaged(spark, sf):
     return flat_silver(scan_partitioned(spark, path))
 
 
-@query("c1_daily_batches", f"""with {VAC}, b as (select * from vac
-  qualify row_number() over (partition by id, cast(ts as date) >= date '2024-01-15' order by published_at_utc desc, url) = 1)
+@query("c1_whole_job", f"""with {VAC}, d as (select * from vac where event_id % 10 not in (0, 1))
+select 'lines_read' as entry, count(*) as cnt from events
+union all select 'lines_kept', count(*) from d
+union all select 'broken_line', count(*) from events where event_id % 10 = 0
+union all select 'no_key', count(*) from events where event_id % 10 = 1
+union all select 'bad_field', count(*) from events where event_id % 10 = 2 or (event_id % 10 = 3 and event_id % 4 <> 3)
+union all select 'silver_rows', count(distinct id) from d
+union all select 'new column extra', count(*) from events where event_id % 3 = 0 and event_id % 10 <> 0""")
+def c1_whole(spark, sf):
+    """The daily job on damaged lines, run twice, with its ledger."""
+    path, ledger = scratch_path(spark, "c1_whole"), scratch_path(spark, "c1_ledger")
+    for _ in range(2):
+        silver_run(spark, damaged_bronze(spark, sf), path, ledger, "2024-01", TIES)
+    metrics = spark.read.schema("lines_read bigint, lines_kept bigint").json(f"{ledger}/metrics")
+    reasons = spark.read.schema("reason string").json(f"{ledger}/quarantine")
+    drift = spark.read.schema("column string, status string, line_cnt bigint").json(f"{ledger}/drift")
+    return (
+        metrics.selectExpr("stack(2, 'lines_read', lines_read, 'lines_kept', lines_kept) as (entry, cnt)")
+        .unionByName(reasons.groupBy(F.col("reason").alias("entry")).agg(n_rows("cnt")))
+        .unionByName(scan_partitioned(spark, path).agg(n_rows("cnt")).withColumn("entry", F.lit("silver_rows")))
+        .unionByName(drift.filter("status = 'new'").select(
+            F.concat(F.lit("new column "), "column").alias("entry"), F.col("line_cnt").alias("cnt")))
+    )
+
+
+@query("c1_daily_batches", f"""with {VAC}, m as (select d as split from (select d, row_number() over (order by d) - 1 as k, count(*) over () as n
+  from (select distinct cast(ts as date) as d from events)) where k = n // 2),
+b as (select vac.* from vac, m
+  qualify row_number() over (partition by id, cast(ts as date) >= m.split order by published_at_utc desc, url) = 1)
 select {_FLAT} from b
 qualify row_number() over (partition by id, cast(published_at_utc as date) order by published_at_utc desc, url) = 1""")
 def c1_batches(spark, sf):
-    """Two batches, the second run twice; late rows merge into days of the first."""
+    """All files in two batches, the second run twice; late rows merge into days of the first."""
     path, source = scratch_path(spark, "c1_batches"), bronze(spark, sf)
-    first, second = "{0[1-9],1[0-4]}", "{1[5-9],2?,3?}"
-    for days in (first, second, second):
-        bronze_to_silver(spark, f"{source}/date=2024-01-{days}", path, TIES)
+    days = [f"{r['date']:%Y-%m-%d}" for r in spark.read.text(source).select("date").distinct().orderBy("date").collect()]
+    middle = len(days) // 2
+    for batch in (days[:middle], days[middle:], days[middle:]):
+        bronze_to_silver(spark, f"{source}/date={{{','.join(batch)}}}", path, TIES)
     return flat_silver(scan_partitioned(spark, path))
 
 

@@ -1,8 +1,10 @@
 """Projections, filters and samples."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.catalog.base import VAC, events, query, table, vacancies
+from marketlake.functions.casts import try_cast_text
 from marketlake.functions.lists import first_item
 from marketlake.operators.joins import keep_members, look_up
 from marketlake.operators.dedup import most_repeated_key
@@ -54,7 +56,13 @@ P5_TYPES = {"o_orderkey": "string", "o_orderstatus": "bigint", "o_orderpriority"
   cast(trunc(o_totalprice) as bigint) as o_totalprice from orders""")
 def p5(spark, sf):
     return table(spark, sf, "orders").select(
-        *[F.col(c).try_cast(t).alias(c) for c, t in P5_TYPES.items()])
+        *[_typed(table(spark, sf, "orders"), c, t).alias(c) for c, t in P5_TYPES.items()])
+
+
+def _typed(df, column, kind):
+    if df.schema[column].dataType == T.StringType() and kind != "string":
+        return try_cast_text(F.col(column), T.LongType())
+    return F.col(column).try_cast(kind)
 
 
 @query("p6_provenance", """select cast(s_suppkey as varchar) as vacancy_id,

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from marketlake.catalog.aggregates import n_rows
-from marketlake.catalog.base import VAC, events, query, table, vacancies
+from marketlake.catalog.base import VAC, events, query, scratch_path, table, vacancies
 from marketlake.functions.times import zone_day
 from marketlake.operators.facets import filter_overlap
 from marketlake.operators.slices import (
@@ -22,7 +22,7 @@ from marketlake.operators.slices import (
     weekly_second_counts,
     with_pages,
 )
-from marketlake.plans.harvest import plan_days
+from marketlake.plans.harvest import ledger_over_cap, plan_days
 
 DAY_CAP = 50
 
@@ -144,6 +144,17 @@ def t3_steady(spark, sf):
     return plan_days(events(spark, sf), F.col("ts"), cap=DAY_CAP, rules=WalkRules(grow_below=25))
 
 
+@query("k7_window_ledger", f"""select run as day, count(*) as window_cnt, sum(found)::bigint as found
+from ({_walk_sql(1, 60, 3600, 500, _DAY_GROWTH)}) where over_cap group by 1""")
+def k7_windows(spark, sf):
+    path = scratch_path(spark, "k7_windows")
+    slices = plan_days(events(spark, sf), F.col("ts"), cap=1)
+    for _ in range(2):  # a re-run replaces its own entries
+        ledger_over_cap(slices, path, "2024-01")
+    ledger = spark.read.schema("day date, found bigint").json(path)
+    return ledger.groupBy("day").agg(n_rows("window_cnt"), F.sum("found").alias("found"))
+
+
 SPAN_CAP = 2000
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.times import MOSCOW, zone_day
 from marketlake.session import materialize
+from marketlake.sinks.writers import write_ledger
 from marketlake.operators.slices import (
     DAILY_WALK,
     WalkRules,
@@ -59,3 +60,8 @@ def batch_rows(df: DataFrame, utc: Column, key: Column, dims: dict[str, Column],
     parts = [F.col(c).cast("string") for c in ["run", "first_second", *names]]
     unit = unit.fillna("(all)", subset=names).withColumn("unit", F.to_json(F.array(*parts)))
     return with_pages(unit, ["unit"], utc, key, per_page).drop("unit", "rn")
+
+
+def ledger_over_cap(slices: DataFrame, path: str, run: str) -> None:
+    """Write the windows that stayed over the cap, as one run of the ledger."""
+    write_ledger(slices.filter("over_cap").withColumnRenamed("run", "day"), path, run)

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.times import local_time, offset_minutes_of_text, utc_of_text
 from marketlake.operators.dedup import keep_any, keep_latest, row_hash
-from marketlake.operators.quality import batch_metrics
-from marketlake.sinks.writers import merge_days, with_day_keys
-from marketlake.sources.jsonl import scan_jsonl
+from marketlake.operators.quality import batch_metrics, drift_report
+from marketlake.session import discard, written_table
+from marketlake.sinks.writers import merge_days, with_day_keys, write_ledger
+from marketlake.sources.contract import VACANCY
+from marketlake.sources.jsonl import quarantine, scan_jsonl, scan_lines
 
 TIME_COLUMNS = ("published_at", "created_at")
 
@@ -65,5 +67,32 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str,
     merge_days(rows, silver_path, "id", latest_first(tie_break))
 
 
+def silver_run(spark: SparkSession, bronze_path: str, silver_path: str, ledger_path: str,
+               run: str, tie_break: list[str] | None = None) -> None:
+    """The whole daily job: quarantine, drift report, silver and metrics of one run.
+
+    The ledger has a folder each for ``quarantine`` (every line that silver lacks or has
+    with a field less, and why), ``drift`` (columns that are new or missing) and
+    ``metrics`` (one row; the lines read are those rejected and those kept).  A re-run of
+    ``run`` replaces its own entries and changes nothing else.
+    """
+    lines = scan_lines(spark, bronze_path)
+    write_ledger(quarantine(lines), f"{ledger_path}/quarantine", run)
+    drift = drift_report(lines, VACANCY).filter("status <> 'known'")
+    write_ledger(drift, f"{ledger_path}/drift", run)
+    rows, rows_path = written_table(
+        with_day_keys(clean(scan_jsonl(spark, bronze_path), tie_break), "published_at_utc"), "batch")
+    merge_days(rows, silver_path, "id", latest_first(tie_break), is_table=True)
+    rejected = spark.read.schema("reason string").json(f"{ledger_path}/quarantine/run={run}")
+    n_rows = F.count(F.lit(1))
+    metrics = silver_metrics(rows).withColumns({
+        "lines_read": lines.agg(n_rows).scalar(),
+        "lines_rejected": rejected.filter("reason in ('broken_line', 'no_key')").agg(n_rows).scalar(),
+        "lines_with_bad_field": rejected.filter("reason = 'bad_field'").agg(n_rows).scalar(),
+    }).withColumn("lines_kept", F.col("lines_read") - F.col("lines_rejected"))
+    write_ledger(metrics, f"{ledger_path}/metrics", run)
+    discard(spark, rows_path)
+
+
 def silver_metrics(silver: DataFrame) -> DataFrame:
     return batch_metrics(silver, "salary", "published_at_utc")

@@ -53,12 +53,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def written_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write a table under the shared folder and read it back; also returns its path."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a table that several later steps read, and read it back.
 
     For plans and counts that are small beside the data: each step then starts from
     files in the shared folder, which survive the loss of executors.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written_table(df, label)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that no later step reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from marketlake.operators.dedup import keep_latest, row_hash
-from marketlake.session import materialize
+from marketlake.session import discard, written_table
 
 DAY_KEYS = ("year", "month", "day")
 
@@ -68,36 +68,62 @@ def overwrite_days(df: DataFrame, path: str, keys: tuple[str, ...] = DAY_KEYS) -
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame | None:
+    """The stored table with the columns of ``df``; None if nothing is at ``path`` yet."""
     try:
         return df.sparkSession.read.schema(df.schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
-def merge_days(df: DataFrame, path: str, key: str, order: list[Column]) -> None:
+def _rows_of_days(stored: DataFrame, touched: DataFrame) -> DataFrame:
+    """Stored rows of the touched days; other partitions are not opened.
+
+    ``touched`` is a written table of a few rows, so the join is a broadcast one, and
+    its filter makes Spark prune the partitions of ``stored`` by the days it finds.
+    """
+    some = touched.filter(F.col(DAY_KEYS[0]) >= 0)
+    return stored.join(some, list(DAY_KEYS), "left_semi")
+
+
+def merge_days(df: DataFrame, path: str, key: str, order: list[Column],
+               is_table: bool = False) -> None:
     """Upsert rows into day partitions, keeping the first row of a key in ``order``.
 
     ``df`` holds one row per key and day.  Late rows belong to days that earlier runs
     wrote, so the stored rows of the days touched by ``df`` are merged in before those
     days are replaced.  The merged days go to a staging table first: a job must not
     read the files it overwrites, and the staged copy lets a run that died half-way
-    through the replace be finished.
+    through the replace be finished.  The copies made here are deleted after the
+    replace; ``is_table`` says that ``df`` already reads a written table.
     """
     stored = _stored(df, path)
     if stored is None:
         overwrite_days(df, path)
         return
-    new = materialize(df, "batch")
-    touched = new.select(*DAY_KEYS).distinct()
-    in_touched_days = stored.join(touched, list(DAY_KEYS), "left_semi")
-    both = new.unionByName(in_touched_days)
+    spark = df.sparkSession
+    copies = []
+    new = df
+    if not is_table:
+        new, batch_path = written_table(df, "batch")
+        copies.append(batch_path)
+    touched, days_path = written_table(new.select(*DAY_KEYS).distinct(), "days")
+    both = new.unionByName(_rows_of_days(stored, touched))
     merged = keep_latest(both, [key, *DAY_KEYS], [*order, row_hash(both).desc()])
-    overwrite_days(materialize(merged, "staging"), path)
+    staged, staging_path = written_table(merged, "staging")
+    overwrite_days(staged, path)
+    for scratch in [*copies, days_path, staging_path]:
+        discard(spark, scratch)
+
 
+def write_ledger(df: DataFrame, path: str, run: str) -> None:
+    """Write the rejected rows, failed windows or reports of one run as JSON lines.
 
-def write_ledger(df: DataFrame, path: str) -> None:
-    """Append rejected rows or failed windows as JSON lines."""
-    df.write.mode("append").option("ignoreNullFields", "false").json(path)
+    Every run has a folder ``run=...`` of its own that a re-run replaces as a whole, so
+    nothing is doubled, and what a repeated run no longer finds goes.
+    """
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/run={run}")
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

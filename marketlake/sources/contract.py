@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.functions.casts import try_cast_text
+
 _TEXT, _LONG, _REAL, _FLAG = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
 
 # --- Fixed values: field names and types of a raw vacancy record -------------
@@ -152,4 +154,4 @@ def lost_in_cast(raw: Column, dtype: T.DataType) -> Column | None:
         )
     if isinstance(dtype, T.StringType):
         return None
-    return raw.isNotNull() & raw.try_cast(dtype).isNull()
+    return raw.isNotNull() & try_cast_text(raw, dtype).isNull()

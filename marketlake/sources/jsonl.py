@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.functions.casts import try_cast_leaves
 from marketlake.sources.contract import VACANCY, as_text, lost_in_cast
 
 BAD_RECORD = "_bad_record"
@@ -58,9 +59,7 @@ def conform(raw: DataFrame, schema: T.StructType) -> DataFrame:
 
     def typed(field: T.StructField) -> Column:
         value = F.col(f"`{field.name}`")
-        if field.dataType != as_text(field.dataType):
-            value = value.try_cast(field.dataType)
-        return F.when(F.col("_whole"), value).alias(field.name)
+        return F.when(F.col("_whole"), try_cast_leaves(value, field.dataType)).alias(field.name)
 
     return raw.withColumn("_whole", whole).select(*[typed(f) for f in schema])
 

@@ -3,11 +3,12 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from marketlake.plans.profile import profile_silver
-from marketlake.plans.silver import bronze_to_silver, clean, silver_metrics, with_local_times
+from marketlake.plans.silver import bronze_to_silver, clean, silver_metrics, silver_run, with_local_times
 from marketlake.sources.jsonl import scan_jsonl
 from marketlake.sources.tables import scan_day, scan_partitioned
 from test_jsonl import write
@@ -98,3 +99,63 @@ def test_profile_reports_run_on_the_whole_contract(spark, tmp_path):
         ("working_days", "[]", 1), ("working_days", None, 1), ("working_hours", None, 2)}
     assert tuple(reports["requirement"][0])[:3] == (1, 1, 1)
     assert len(reports) == 12
+
+
+def test_merge_opens_only_the_days_of_the_batch(spark, tmp_path):
+    """The files of all other days are made unreadable; the merge must not notice."""
+    silver = str(tmp_path / "silver")
+    month = write(tmp_path / "m", [line(str(d), f"2025-12-{d:02d}T10:00:00+0000") for d in range(1, 31)])
+    bronze_to_silver(spark, month, silver)
+    others = [p for p in (tmp_path / "silver").rglob("part-*") if "day=7/" not in str(p)]
+    assert len(others) >= 29
+    for p in others:
+        p.write_bytes(b"not parquet")
+        crc = p.with_name(f".{p.name}.crc")
+        if crc.exists():
+            crc.unlink()
+    batch = write(tmp_path / "b", [line("7", "2025-12-07T12:00:00+0000", "newer"), line("70", "2025-12-07T13:00:00+0000")])
+    bronze_to_silver(spark, batch, silver)
+    day = spark.read.parquet(f"{silver}/year=2025/month=12/day=7").select("id", "name")
+    assert rows(day) == [("7", "newer"), ("70", "n")]
+
+
+def test_only_a_missing_path_means_a_new_table(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    import marketlake.sinks.writers as writers
+
+    df = spark.sql("select 1 as a")
+    assert writers._stored(df, str(tmp_path / "none")) is None
+    df.write.parquet(str(tmp_path / "table"))
+    with pytest.raises(AnalysisException, match="already exists"):
+        writers._stored(spark.sql("select 1 as a, 2 as a"), str(tmp_path / "table"))
+
+
+def test_whole_job_keeps_a_ledger_and_can_be_run_again(spark, tmp_path):
+    batch = write(tmp_path / "b", [
+        line("1", "2025-12-01T10:00:00+0000"), "{bad", line(None, "2025-12-01T10:00:00+0000"),
+        line("2", "2025-12-01T10:00:00+0000", internship="x", extra=1), line("1", "2025-12-01T11:00:00+0000")])
+    silver, ledger = str(tmp_path / "silver"), str(tmp_path / "ledger")
+    found = []
+    for _ in range(2):
+        silver_run(spark, batch, silver, ledger, "2025-12-01")
+        found.append([
+            rows(scan_partitioned(spark, silver).select("id", "published_at_utc")),
+            rows(spark.read.json(f"{ledger}/quarantine").groupBy("reason").count()),
+            rows(spark.read.json(f"{ledger}/metrics").select("lines_read", "lines_rejected", "lines_kept", "row_count")),
+            rows(spark.read.json(f"{ledger}/drift").filter("status = 'new'").select("column", "line_cnt")),
+        ])
+    assert found[0] == found[1]
+    assert [r[0] for r in found[0][0]] == ["1", "2"]
+    assert found[0][1:] == [[("bad_field", 1), ("broken_line", 1), ("no_key", 1)], [(5, 2, 3, 2)], [("extra", 1)]]
+
+
+def test_a_run_that_finds_nothing_more_empties_its_ledger_entry(spark, tmp_path):
+    from marketlake.sinks.writers import write_ledger
+
+    path = str(tmp_path / "ledger")
+    some = spark.sql("select 'x' as reason")
+    write_ledger(some, path, "a")
+    write_ledger(some, path, "b")
+    write_ledger(some.filter("false"), path, "a")
+    assert rows(spark.read.schema("reason string, run string").json(path)) == [("x", "b")]
