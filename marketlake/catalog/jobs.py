@@ -16,9 +16,10 @@ from marketlake.catalog.base import (
 )
 from marketlake.functions.lists import first_item
 from marketlake.plans.harvest import batch_rows
-from marketlake.plans.historical import Dump, consolidate
+from marketlake.plans.historical import Dump, canonical_dumps, consolidate, left_out
 from marketlake.plans.marts import top_terms
-from marketlake.plans.profile import list_reports, profile_silver
+from marketlake.operators.profile import list_reports
+from marketlake.plans.profile import LIST_REPORTS, profile_silver
 from marketlake.plans.reconcile import copies_of_top_key, repeats_by_date
 from marketlake.plans.silver import bronze_to_silver, clean_any, enrich, silver_run
 from marketlake.sinks.writers import write_jsonl_batches, write_parquet
@@ -124,15 +125,14 @@ def c2(spark, sf):
 JOB_DUMPS = [
     Dump("items.csv", ";", "dd.MM.yyyy HH:mm",
          {"vacancy_id": "id_vac", "vacancy_name": "name", "date_published": "published_at",
-          "salary_from": "salary"}, multiline=False),
+          "salary_from": "salary"}),
     Dump("orders.csv", ",", "yyyy-MM-dd HH:mm:ss[XXX][XX]",
-         {"vacancy_id": "id", "vacancy_name": "title", "date_published": "created_at"},
-         multiline=False),
+         {"vacancy_id": "id", "vacancy_name": "title", "date_published": "created_at"}),
     Dump("customers.csv", "|", "yyyy-MM-dd",
-         {"vacancy_name": "positionName", "date_published": "publishedDate"}, multiline=False),
+         {"vacancy_name": "positionName", "date_published": "publishedDate"}),
     Dump("suppliers.csv", ";", "yyyy-MM-dd HH:mm:ss",
          {"vacancy_id": "id", "date_published": "last_found_at", "salary_from": "salary_from",
-          "data_source": "data_source"}, multiline=False),
+          "data_source": "data_source"}),
 ]
 
 
@@ -166,6 +166,7 @@ _DUMPS_SQL = """with d as (
     (l_shipdate at time zone 'Europe/Moscow') at time zone 'UTC' as utc, cast(l_quantity as bigint)::varchar as salary_from,
     'hh' as data_source, 'items.csv' as file_source from lineitem
   union all select o_orderkey::varchar, o_orderpriority, o_orderdate - interval 5 hour, null, 'hh', 'orders.csv' from orders
+  union all select '~' || md5(c_name || chr(31) || '2022-06-01'), c_name, timestamp '2022-05-31 21:00:00', null, 'hh', 'customers.csv' from customer
   union all select s_suppkey::varchar, null, timestamp '2022-06-01 07:00:00', s_nationkey::varchar, 'sup', 'suppliers.csv' from supplier)
 select vacancy_id, vacancy_name, strftime(msk, '%Y-%m-%dT%H:%M:%S') || '+' || lpad(cast(date_diff('hour', utc, msk) as varchar), 2, '0') || '00' as date_published,
   salary_from, data_source, file_source
@@ -178,15 +179,22 @@ qualify row_number() over (partition by vacancy_id, data_source order by utc des
 def c3(spark, sf):
     folder = written(spark, sf, "dumps", _write_dumps(spark, sf))
     path = scratch_path(spark, "c3")
-    write_parquet(consolidate(spark, folder, JOB_DUMPS[:2] + JOB_DUMPS[3:]), path, level=15)
+    write_parquet(consolidate(spark, folder, JOB_DUMPS), path, level=15)
     return spark.read.parquet(path)
 
 
 @query("c3_strict_names", _DUMPS_SQL.format(where="where vacancy_name is not null"))
 def c3_strict(spark, sf):
     folder = written(spark, sf, "dumps", _write_dumps(spark, sf))
-    dumps = JOB_DUMPS[:2] + JOB_DUMPS[3:]
-    return consolidate(spark, folder, dumps, ("vacancy_id", "vacancy_name"))
+    return consolidate(spark, folder, JOB_DUMPS, ("vacancy_id", "vacancy_name"))
+
+
+@query("c3_left_out", """select 'items.csv' as file_source, count(*) as row_cnt, 0::bigint as left_out_cnt from lineitem
+union all select 'orders.csv', count(*), 0 from orders union all select 'customers.csv', count(*), 0 from customer
+union all select 'suppliers.csv', count(*), count(*) from supplier""")
+def c3_left_out(spark, sf):
+    folder = written(spark, sf, "dumps", _write_dumps(spark, sf))
+    return left_out(canonical_dumps(spark, folder, JOB_DUMPS), ("vacancy_id", "vacancy_name"))
 
 
 @query("c4_silver_profile", f"""with {VAC}, s as (select * from vac
@@ -241,6 +249,61 @@ def c4_fill(spark, sf):
     return _profile(spark, sf, "responsibility")
 
 
+_S = f"with {VAC}, s as (select * from vac {_LATEST})"
+
+
+@query("c4_ids", f"{_S} select count(*) as rows_cnt, count(distinct id) as unique_id_cnt from s")
+def c4_ids(spark, sf):
+    return _profile(spark, sf, "ids")
+
+
+@query("c4_schedule", f"{_S} select schedule_id, count(*) as rows_cnt, count(distinct id) as unique_id_cnt from s group by 1")
+def c4_schedule(spark, sf):
+    return _profile(spark, sf, "schedule").select(F.col("schedule.id").alias("schedule_id"), "rows_cnt", "unique_id_cnt")
+
+
+@query("c4_list_values", f"{_S} select unnest([{', '.join(repr(c) for c in LIST_REPORTS)}]) as \"column\", "
+       "null::varchar as value, null::bigint as len, (select count(*) from s) as cnt")
+def c4_list_values(spark, sf):
+    return _profile(spark, sf, "list_values")
+
+
+@query("c4_role_lengths", f"""{_S}, n as (select len(role_ids) as n from s)
+select min(n) as min_len, max(n) as max_len, round(avg(n), 6) as avg_len, quantile_cont(n, 0.5) as median_len from n""")
+def c4_role_lengths(spark, sf):
+    return _profile(spark, sf, "role_list_lengths").select("min_len", "max_len", "avg_len", "median_len")
+
+
+@query("c4_role_lists", f"""{_S} select count(role_ids) as rows_cnt, count(distinct role_ids) as unique_cnt,
+  count(distinct role_ids[1]) as unique_names_cnt, count(distinct role_ids[1]) as unique_ids_cnt from s""")
+def c4_role_lists(spark, sf):
+    return _profile(spark, sf, "role_lists")
+
+
+@query("c4_requirement", f"""{_S}
+select rows_cnt, unique_cnt, null_cnt, round(null_cnt / rows_cnt * 100, 2) as null_prcnt,
+  round(null_cnt / (rows_cnt + null_cnt) * 100, 2) as null_share from (
+select count(requirement) as rows_cnt, count(distinct requirement) as unique_cnt,
+  count(*) filter (where requirement is null) as null_cnt from s)""")
+def c4_requirement(spark, sf):
+    return _profile(spark, sf, "requirement")
+
+
+@query("c4_is_adv_vacancy", f"{_S} select null::boolean as is_adv_vacancy, count(*) as rows_cnt from s")
+def c4_adv(spark, sf):
+    return _profile(spark, sf, "is_adv_vacancy")
+
+
+@query("c4_internship", f"{_S} select internship, count(*) as rows_cnt from s group by 1")
+def c4_internship(spark, sf):
+    return _profile(spark, sf, "internship")
+
+
+@query("c4_accept_temporary", f"{_S} select accept_temporary, count(*) as rows_cnt from s group by 1")
+def c4_temporary(spark, sf):
+    return _profile(spark, sf, "accept_temporary")
+
+
 @query("c5_repeats_by_date", f"""with {VAC}
 select cast(ts as date) as date, count(id) as total_id_cnt, count(distinct id) as unique_id_cnt,
   round((count(id) - count(distinct id)) / count(id) * 100, 2) as share_of_duplicates_pcnt

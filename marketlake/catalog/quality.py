@@ -1,6 +1,7 @@
 """Schema drift and data quality."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from marketlake.catalog.base import VAC, bronze, query, vacancies
 from marketlake.operators.quality import (
@@ -12,7 +13,13 @@ from marketlake.operators.quality import (
     null_rate_history,
 )
 from marketlake.plans.reconcile import bronze_silver_difference, outlier_columns
-from marketlake.plans.silver import clean, silver_metrics, with_local_times, with_utc_and_offset
+from marketlake.plans.silver import (
+    TIME_COLUMNS,
+    clean,
+    silver_metrics,
+    with_local_times,
+    with_utc_and_offset,
+)
 from marketlake.sources.contract import VACANCY
 from marketlake.sources.jsonl import scan_jsonl, scan_lines
 from marketlake.sources.tables import path_date
@@ -119,19 +126,30 @@ def c5_outliers(spark, sf):
     return outlier_columns(lines.withColumn("file_path", folder))
 
 
+# Every column of silver: when it is NULL, and for lists when it is empty.
+_SILVER = [c for c in VACANCY.fieldNames() if c not in TIME_COLUMNS] + [
+    f"{c}_{part}" for c in TIME_COLUMNS for part in ("utc", "offset")]
+_NULL_IF = {**{c: "false" for c in _SILVER if c in _ALWAYS or c.startswith(TIME_COLUMNS)},
+            **{c: f"not ({w})" for c, w in _SOMETIMES.items() if c in _SILVER}}
+_EMPTY_IF = {"work_format": "len(work_format_ids) = 0", "professional_roles": "len(role_ids) = 0", "relations": "true"}
+_LISTS = [f.name for f in VACANCY if isinstance(f.dataType, ArrayType)]
+
+
+def _silver_row(c):
+    nulls = f"count_if({_NULL_IF.get(c, 'true')})"
+    empty = f"count_if({_EMPTY_IF.get(c, 'false')})::bigint" if c in _LISTS else "null::bigint"
+    share = f"round({empty} / count(*) * 100, 1)" if c in _LISTS else "null::double"
+    return (f"select '{c}' as \"column\", count(*) as total_cnt, {nulls}::bigint as null_cnt, "
+            f"round({nulls} / count(*) * 100, 1) as null_pcnt, {empty} as empty_list_cnt, {share} as empty_pcnt from s")
+
+
 @query("q6_silver_null_empty", f"""with {VAC}, s as (select * from vac
   qualify row_number() over (partition by id order by published_at_utc desc, url) = 1)
-select 'salary' as "column", count(*) as total_cnt, count_if(salary_from is null)::bigint as null_cnt,
-  round(count_if(salary_from is null) / count(*) * 100, 1) as null_pcnt,
-  cast(null as bigint) as empty_list_cnt, cast(null as double) as empty_pcnt from s
-union all select 'work_format', count(*), count_if(work_format_ids is null)::bigint,
-  round(count_if(work_format_ids is null) / count(*) * 100, 1), count_if(len(work_format_ids) = 0)::bigint,
-  round(count_if(len(work_format_ids) = 0) / count(*) * 100, 1) from s""")
+{" union all ".join(_silver_row(c) for c in _SILVER)}""")
 def q6(spark, sf):
     from marketlake.operators.profile import null_and_empty_report
 
-    silver = clean(scan_jsonl(spark, bronze(spark, sf)), ["url"])
-    return null_and_empty_report(silver.select("salary", "work_format"))
+    return null_and_empty_report(clean(scan_jsonl(spark, bronze(spark, sf)), ["url"]))
 
 
 @query("q5_silver_metrics", f"""with {VAC}, s as (select * from vac

@@ -113,7 +113,7 @@ def j5(spark, sf):
   from nodes n join t on n.parent_id = t.id)
 select * from t""")
 def j6(spark, sf):
-    return walk_tree(area_nodes(spark, sf), max_level=3)
+    return walk_tree(area_nodes(spark, sf))
 
 
 @query("o1_sort", "select event_id, user_id, value from events order by value desc, event_id")
@@ -145,12 +145,11 @@ def u1(spark, sf):
     return cust.unionByName(supp, allowMissingColumns=True)
 
 
-@query("u2_strict_union", """select * from (select * from events order by ts, event_id limit 100)
-union all select * from (select * from events order by ts desc, event_id desc limit 100)""")
+@query("u2_strict_union", """select * from events where event_type in ('click', 'view')
+union all select * from events where value > 50""")
 def u2(spark, sf):
     ev = events(spark, sf)
-    return ev.orderBy("ts", "event_id").limit(100).union(
-        ev.orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(100))
+    return ev.filter("event_type in ('click', 'view')").union(ev.filter("value > 50"))
 
 
 @query("u3_union_keep_repeats", """select user_id, count(*) as cnt from (

@@ -10,6 +10,9 @@ from marketlake.streaming.ingest import (
     append_to_parquet,
     first_seen,
     late_rows,
+    publish_window_counts,
+    read_window_counts,
+    rows_dropped_late,
     stream_to_silver,
     window_counts,
 )
@@ -44,16 +47,31 @@ def r2(spark, sf):
 
 @query("r3_window_counts", """with w as (select date_trunc('hour', ts)::timestamp as "start",
   event_type, count(*) as found from events group by all)
-select "start", "start" + interval 1 hour as "end", event_type, found from w
-where "start" + interval 1 hour <= (select max(ts) - interval 1 hour from events)""")
+select "start", "start" + interval 1 hour as "end", event_type, found from w""")
 def r3(spark, sf):
     path = scratch_path(spark, "r3")
     schema = events(spark, sf).schema
     stream = spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet")
-    _finish(append_to_parquet(
-        window_counts(stream, "ts", "1 hour", "1 hour", ["event_type"]), path,
-        scratch_path(spark, "r3_state"), spark.sparkContext.defaultParallelism))
-    return spark.read.parquet(path)
+    _finish(publish_window_counts(stream, "ts", "1 hour", path, scratch_path(spark, "r3_state"), ["event_type"]))
+    return read_window_counts(spark, path, ["event_type"])
+
+
+@query("r3_rows_accounted", """select count(*) as row_cnt, true as accounted from events""")
+def r3_accounted(spark, sf):
+    """A watermarked count: rows emitted, rows in windows still open and rows dropped add up."""
+    path = scratch_path(spark, "r3_closed")
+    schema = events(spark, sf).schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet")
+    done = append_to_parquet(window_counts(stream, "ts", "1 hour", "1 hour", ["event_type"]), path,
+                             scratch_path(spark, "r3_closed_state"), spark.sparkContext.defaultParallelism)
+    _finish(done)
+    closed = spark.read.parquet(path)
+    ev = events(spark, sf)
+    still_open = ev.filter(F.date_trunc("hour", "ts").cast("timestamp_ntz") + F.expr("interval 1 hour")
+                           > ev.agg(F.max("ts") - F.expr("interval 1 hour")).scalar())
+    return ev.agg(F.count(F.lit(1)).alias("row_cnt")).select("row_cnt", (
+        F.col("row_cnt") == closed.agg(F.sum("found")).scalar() + still_open.agg(F.count(F.lit(1))).scalar()
+        + F.lit(rows_dropped_late(done))).alias("accounted"))
 
 
 @query("r4_late_rows", f"""with {VAC}

@@ -20,18 +20,19 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str],
     return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in both])
 
 
-# Groups with more rows than this are kept out of shuffles on their key.  There are at
-# most (all rows / HOT_ROWS) of them, which bounds every broadcast of hot groups.
+# Groups with more rows than this are told from the others.  There are at most
+# (all rows / HOT_ROWS) of them; Spark broadcasts them while that table is small by its
+# size check, and otherwise splits their rows between tasks (adaptive skew join).
 HOT_ROWS = 1_000_000
 
 
 def split_hot(df: DataFrame, sizes: DataFrame, keys: list[str], size: str,
               hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(rows of hot groups, all other rows), told apart without shuffling the rows.
+    """(rows of hot groups, all other rows).
 
     ``sizes`` holds one row per group with its number of rows in ``size``.
     """
-    hot = F.broadcast(sizes.filter(F.col(size) > hot_rows).select(*keys))
+    hot = sizes.filter(F.col(size) > hot_rows).select(*keys)
     return (
         join_null_safe(df, hot, keys, "left_semi"),
         join_null_safe(df, hot, keys, "left_anti"),
@@ -42,13 +43,13 @@ def join_group_sizes(df: DataFrame, sizes: DataFrame, keys: list[str], size: str
                      hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows with the columns of their group in ``sizes``, for groups of any size.
 
-    Hot groups meet their few rows of ``sizes`` by broadcast, the others by an
+    Hot groups meet their few rows of ``sizes`` apart from the others, which take an
     ordinary join in which no key is frequent.
     """
     hot = sizes.filter(F.col(size) > hot_rows)
     rest = sizes.filter(F.col(size) <= hot_rows)
     _, other_rows = split_hot(df, sizes, keys, size, hot_rows)
-    return join_null_safe(df, F.broadcast(hot), keys).unionByName(
+    return join_null_safe(df, hot, keys).unionByName(
         join_null_safe(other_rows, rest, keys)
     )
 

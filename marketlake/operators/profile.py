@@ -58,10 +58,31 @@ def empty_list_report(df: DataFrame) -> DataFrame:
 
 
 def null_and_empty_report(df: DataFrame) -> DataFrame:
-    """NULL counts of all columns with the empty-list counts of list columns beside them."""
-    nulls = null_report(df)
-    empty = empty_list_report(df).select("column", "empty_list_cnt", "empty_pcnt")
-    return nulls.join(empty, "column", "left")
+    """NULL counts of all columns with the empty-list counts of list columns, in one pass."""
+    lists = set(list_columns(df))
+    out = _per_column(
+        df, df.columns,
+        null_cnt=lambda c: F.count_if(_name(c).isNull()),
+        empty_list_cnt=lambda c: (F.count_if(F.size(_name(c)) == 0) if c in lists
+                                  else F.max(F.lit(None).cast("bigint"))),
+    )
+    return out.select(
+        "column", "total_cnt", "null_cnt", _percent(F.col("null_cnt"), F.col("total_cnt"), 1).alias("null_pcnt"),
+        "empty_list_cnt", _percent(F.col("empty_list_cnt"), F.col("total_cnt"), 1).alias("empty_pcnt"),
+    )
+
+
+def list_reports(df: DataFrame, columns: list[str], k: int = 10) -> DataFrame:
+    """(column, value, len, cnt): the k most frequent values of each list column, in one scan.
+
+    Only the k best of a task's values of a column are ranked in one place.
+    """
+    values = [F.struct(F.lit(c).alias("column"), F.to_json(_name(c)).alias("value"),
+                       F.array_size(_name(c)).cast("bigint").alias("len")) for c in columns]
+    counts = df.select(F.explode(F.array(*values)).alias("v")).groupBy("v.column", "v.value", "v.len").agg(
+        F.count(F.lit(1)).alias("cnt"))
+    best = Window.partitionBy("column").orderBy(F.col("cnt").desc(), F.col("value").asc_nulls_first())
+    return counts.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= k).drop("_rank")
 
 
 def fill_report(df: DataFrame, field: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.session import materialize
 
@@ -37,9 +38,20 @@ def _bucket_holding(counts: DataFrame, inside: list[str], order: str) -> DataFra
     )
 
 
+def _exact(df: DataFrame, name: str) -> Column:
+    """The value as a decimal with room for 64-bit integers, NULL for floating columns."""
+    kind = df.schema[name].dataType
+    exact = isinstance(kind, (T.IntegralType, T.DecimalType))
+    return (F.col(f"`{name}`") if exact else F.lit(None)).cast("decimal(38,6)")
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     method: str = "linear") -> DataFrame:
-    """(column, prob, value) with the exact quantiles of numeric columns.
+    """(column, prob, value, exact) with the exact quantiles of numeric columns.
+
+    ``value`` is a double.  ``exact`` is the same as DECIMAL(38, 6) for integer and
+    decimal columns, whose digits a double may not hold, and NULL for others.  NaN ranks
+    above every number, as in Spark's order; NULLs are left out.
 
     ``method`` is ``linear`` (interpolated) or ``nearest`` (the element at rank
     ``round(q * (n - 1))``).  Ranks are located by narrowing: a coarse histogram of
@@ -51,11 +63,12 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     """
     values = (
         df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+            F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("v"),
+                     _exact(df, c).alias("x"))
             for c in columns
-        ])).alias("x"))
-        .select("x.column", "x.v")
-        .filter(F.col("v").isNotNull() & ~F.isnan("v"))
+        ])).alias("e"))
+        .select("e.column", "e.v", "e.x")
+        .filter(F.col("v").isNotNull())
         .withColumn("k1", _coarse(F.col("v")))
     )
     n_rows = F.count(F.lit(1)).alias("n")
@@ -96,15 +109,22 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     )
     within2 = within1.join(F.broadcast(wanted2), ["column", "k1", "k2"], "left_semi")
 
+    # Equal doubles may differ as decimals, so the last ranks are by both.
     level3 = _bucket_holding(
-        within2.groupBy("column", "k1", "k2", "v").agg(n_rows),
-        ["column", "k1", "k2"], "v",
+        within2.groupBy("column", "k1", "k2", "v", "x").agg(n_rows).withColumn("vx", F.struct("v", "x")),
+        ["column", "k1", "k2"], "vx",
     )
-    low, high = F.min("v"), F.max("v")
-    return (
+    found = (
         level3.join(wanted2, ["column", "k1", "k2"])
         .filter((F.col("before") <= F.col("r2")) & (F.col("r2") < F.col("upto")))
         .groupBy("column", "prob")
-        .agg((low + (high - low) * F.first("share")).alias("value")
-             if method == "linear" else low.alias("value"))
+        .agg(F.min("vx").alias("low"), F.max("vx").alias("high"), F.first("share").alias("share"))
     )
+    if method == "nearest":
+        return found.select("column", "prob", F.col("low.v").alias("value"), F.col("low.x").alias("exact"))
+    between = F.col("low.v") + (F.col("high.v") - F.col("low.v")) * F.col("share")
+    # Equal ends need no arithmetic, which would turn infinities into NaN.
+    value = F.when(F.col("low.v") == F.col("high.v"), F.col("low.v")).otherwise(between)
+    gap = (F.col("high.x") - F.col("low.x")) * F.col("share").cast("decimal(9,8)")
+    return found.select("column", "prob", value.alias("value"),
+                        (F.col("low.x") + gap).cast("decimal(38,6)").alias("exact"))

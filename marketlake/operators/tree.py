@@ -2,42 +2,35 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.session import materialize
+
 
-def walk_tree(nodes: DataFrame, max_level: int, sep: str = " / ") -> DataFrame:
-    """(id, parent_id, name, level, path) of every node under the roots.
+def walk_tree(nodes: DataFrame, sep: str = " / ") -> DataFrame:
+    """(id, parent_id, name, level, path) of every node under the roots, however deep.
 
-    ``nodes`` holds (id, parent_id, name); roots have a NULL parent.  One join per
-    level, each on the parent key.  A tree deeper than ``max_level`` raises instead
-    of losing its lower nodes.
+    ``nodes`` holds (id, parent_id, name); roots have a NULL parent.  Each level is one
+    join on the parent key with the level above, which is written, and the walk ends at
+    the first level without nodes.  Nodes that no root leads to are not returned.
     """
-    level = nodes.filter(F.col("parent_id").isNull()).select(
+    nodes = materialize(nodes.select("id", "parent_id", "name"), "tree")
+    level = materialize(nodes.filter(F.col("parent_id").isNull()).select(
         "id", "parent_id", "name", F.lit(0).cast("bigint").alias("level"),
         F.col("name").alias("path"),
-    )
+    ), "tree")
     levels = [level]
-    for depth in range(1, max_level + 1):
-        up = level.select(F.col("id").alias("parent_id"), F.col("path").alias("up_path"))
-        level = nodes.join(up, "parent_id").select(
-            "id", "parent_id", "name", F.lit(depth).cast("bigint").alias("level"),
+    while not level.isEmpty():
+        up = level.select(F.col("id").alias("parent_id"), "level", F.col("path").alias("up_path"))
+        level = materialize(nodes.join(up, "parent_id").select(
+            "id", "parent_id", "name", (F.col("level") + 1).alias("level"),
             F.concat("up_path", F.lit(sep), "name").alias("path"),
-        )
+        ), "tree")
         levels.append(level)
-    parents = nodes.select(F.col("parent_id").alias("id")).filter("id is not null").distinct()
-    deeper = level.join(parents, "id", "left_semi").select(
-        *[
-            F.raise_error(F.lit(f"tree is deeper than {max_level} levels"))
-            .cast(level.schema[c].dataType).alias(c)
-            for c in level.columns
-        ]
-    )
-    levels.append(deeper)
-    out = levels[0]
-    for part in levels[1:]:
-        out = out.unionAll(part)
-    return out
+    return reduce(DataFrame.unionAll, levels)
 
 
 def child_counts(nodes: DataFrame) -> DataFrame:

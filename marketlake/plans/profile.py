@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.lists import first_item
 from marketlake.operators.profile import (
     fill_report,
-    list_column_report,
     list_length_stats,
+    list_reports,
     null_and_empty_report,
 )
 
@@ -26,15 +24,6 @@ LIST_REPORTS = [
 ]
 
 
-def list_reports(df: DataFrame, columns: list[str], k: int = 10) -> DataFrame:
-    """(column, value, len, cnt): the k most frequent values of each list column."""
-    reports = [
-        list_column_report(df, c, k).select(F.lit(c).alias("column"), "value", "len", "cnt")
-        for c in columns
-    ]
-    return reduce(DataFrame.unionAll, reports)
-
-
 def profile_silver(silver: DataFrame, names: list[str] | None = None) -> dict[str, DataFrame]:
     """Report name -> lazy report, all of them or the named ones; each is one aggregate."""
     n_rows = F.count(F.lit(1)).alias("rows_cnt")

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scan_dump(
-    spark: SparkSession, path: str | list[str], sep: str = ",", multiline: bool = True
+    spark: SparkSession, path: str | list[str], sep: str = ",", multiline: bool = False
 ) -> DataFrame:
     """A delimited dump with a header, every column STRING, bad rows tolerated.
 
     Undecodable bytes become U+FFFD, short rows are padded with NULL, extra columns
     are dropped, an empty field is NULL and a quoted empty one is ''.  Quoted fields
-    may hold line breaks; where a dump has none, ``multiline=False`` lets Spark split
-    its files between tasks.
+    may hold line breaks with ``multiline=True``, which reads a file in one task; without
+    it Spark splits files between tasks.
     """
     return (
         spark.read.option("sep", sep)

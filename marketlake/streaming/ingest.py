@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -59,12 +59,14 @@ def first_seen(records: DataFrame, delay: str, salts: int = 16) -> DataFrame:
     )
 
 
-def window_counts(events: DataFrame, ts: str, width: str, delay: str,
+def window_counts(events: DataFrame, ts: str, width: str, delay: str | None,
                   by: list[str] | None = None) -> DataFrame:
-    """Tumbling-window counts, emitted once the watermark passes a window's end."""
+    """Tumbling-window counts; with a ``delay`` a window is emitted once the watermark
+    passes its end, and rows that come later still are dropped (see ``rows_dropped_late``).
+    """
+    timed = events.withColumn("_t", F.col(ts).cast("timestamp"))
     return (
-        events.withColumn("_t", F.col(ts).cast("timestamp"))
-        .withWatermark("_t", delay)
+        (timed.withWatermark("_t", delay) if delay else timed)
         .groupBy(F.window("_t", width), *(by or []))
         .agg(F.count(F.lit(1)).alias("found"))
         .select(
@@ -75,6 +77,36 @@ def window_counts(events: DataFrame, ts: str, width: str, delay: str,
     )
 
 
+def publish_window_counts(events: DataFrame, ts: str, width: str, path: str, checkpoint: str,
+                          by: list[str] | None = None) -> StreamingQuery:
+    """Counts of tumbling windows as a table that is complete after every micro-batch.
+
+    Each micro-batch writes its own counts to a folder ``batch=<id>``, which a replay
+    replaces; ``read_window_counts`` adds them up.  There is no state and no watermark,
+    so open windows are published and a row counts however late it comes.
+    """
+    def land(batch: DataFrame, batch_id: int) -> None:
+        window_counts(batch, ts, width, None, by).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        events.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_window_counts(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
+    """(start, end, by..., found) over all micro-batches so far."""
+    return spark.read.parquet(path).groupBy("start", "end", *(by or [])).agg(F.sum("found").alias("found"))
+
+
+def rows_dropped_late(query: StreamingQuery) -> int:
+    """Rows that a finished stateful query left out because they were behind its watermark."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress
+               for op in p["stateOperators"])
+
+
 def late_rows(records: DataFrame, file_date: Column) -> DataFrame:
     """Per file date and publication date: rows, and whether they are out of the window."""
     published = F.to_date(utc_of_text(F.col("published_at")))

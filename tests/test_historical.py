@@ -1,12 +1,21 @@
 """Dumps with bad bytes, quoting, ragged rows and unreadable dates."""
 
 from conftest import rows
-from marketlake.plans.historical import CANONICAL, DUMPS, Dump, consolidate, merge_dumps, to_canonical
+from marketlake.plans.historical import (
+    CANONICAL,
+    DUMPS,
+    Dump,
+    canonical_dumps,
+    consolidate,
+    left_out,
+    merge_dumps,
+    to_canonical,
+)
 from marketlake.sources.dumps import scan_dump
 
 A = Dump("a.csv", ";", "dd.MM.yyyy HH:mm",
          {"vacancy_id": "id_vac", "vacancy_name": "name", "date_published": "published_at",
-          "salary_from": "salary"})
+          "salary_from": "salary"}, multiline=True)
 B = Dump("b.csv", "|", "yyyy-MM-dd HH:mm:ss[XXX][XX]",
          {"vacancy_id": "id", "date_published": "at", "data_source": "src"})
 
@@ -46,7 +55,7 @@ def test_strict_mode_needs_a_name(spark, tmp_path):
 
 
 def test_equal_keys_do_not_depend_on_order(spark, tmp_path):
-    raw = scan_dump(spark, folder(tmp_path) + "/a.csv", ";")
+    raw = scan_dump(spark, folder(tmp_path) + "/a.csv", ";", multiline=True)
     one = to_canonical(raw, A)
     assert rows(merge_dumps([one, one])) == rows(merge_dumps([one]))
 
@@ -54,3 +63,13 @@ def test_equal_keys_do_not_depend_on_order(spark, tmp_path):
 def test_declared_dumps():
     assert len(DUMPS) == 6
     assert sum("vacancy_id" not in d.columns for d in DUMPS) == 1
+
+
+def test_a_dump_without_ids_is_kept_and_losses_are_counted(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("title,at\nx,2022-06-01\ny,2022-06-02\nx,2022-06-01\n,\n")
+    c = Dump("c.csv", ",", "yyyy-MM-dd", {"vacancy_name": "title", "date_published": "at"})
+    where = folder(tmp_path)
+    out = consolidate(spark, where, [A, B, c])
+    assert [r["vacancy_name"] for r in out.filter("file_source = 'c.csv'").orderBy("vacancy_name").collect()] == [
+        None, "x", "y"]
+    assert rows(left_out(canonical_dumps(spark, where, [A, B, c]))) == [("a.csv", 7, 1), ("b.csv", 2, 0), ("c.csv", 4, 0)]
