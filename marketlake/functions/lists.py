@@ -1,4 +1,4 @@
-"""List and text helpers with the reference's out-of-range and NULL rules."""
+"""List and text helpers; a place outside a list or text gives NULL, as does a NULL input."""
 
 from __future__ import annotations
 

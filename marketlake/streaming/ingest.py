@@ -9,20 +9,26 @@ from pyspark.sql.streaming import StreamingQuery
 from marketlake.functions.times import utc_of_text
 from marketlake.operators.dedup import keep_latest, row_hash
 from marketlake.plans.silver import enrich, latest_first
-from marketlake.sinks.writers import DAY_KEYS, merge_days, with_day_keys
+from marketlake.sinks.writers import DAY_KEYS, merge_days, with_day_keys, write_ledger
 
 
 def stream_to_silver(records: DataFrame, silver_path: str, checkpoint: str,
-                     tie_break: list[str] | None = None) -> StreamingQuery:
+                     tie_break: list[str] | None = None,
+                     ledger_path: str | None = None) -> StreamingQuery:
     """Type every micro-batch of new files and merge it into the silver days.
 
     Silver ends with the newest version of each id in each publication day, however
     the files were split into micro-batches.  The merge is idempotent, so a batch
     replayed after a failure changes nothing; late rows go to the day they were
-    published.
+    published.  With a ``ledger_path`` every micro-batch writes how many lines it read
+    and how many had no id (broken lines have none), which silver leaves out.
     """
 
-    def land(batch: DataFrame, _batch_id: int) -> None:
+    def land(batch: DataFrame, batch_id: int) -> None:
+        if ledger_path:
+            counts = batch.agg(F.count(F.lit(1)).alias("lines_read"),
+                               F.count_if(F.col("id").isNull()).alias("lines_without_id"))
+            write_ledger(counts, ledger_path, f"batch-{batch_id}")
         rows = with_day_keys(enrich(batch), "published_at_utc")
         order = latest_first(tie_break)
         newest = keep_latest(rows, ["id", *DAY_KEYS], [*order, row_hash(rows).desc()])

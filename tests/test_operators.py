@@ -50,6 +50,19 @@ def test_quantiles_of_big_numbers_and_signs(spark):
     assert got == [-1e308, 0.0, float("inf")]
 
 
+def test_quantiles_keep_every_digit_and_rank_nan_last(spark):
+    big = 2**53
+    ints = spark.createDataFrame([(big + 1,), (big + 3,), (big + 5,), (None,)], "a long")
+    got = exact_quantiles(ints, ["a"], [0.5], "linear").first()
+    assert int(got["exact"]) == big + 3 and exact_quantiles(ints, ["a"], [1.0], "nearest").first()["exact"] == big + 5
+    decimals = spark.sql("select cast(x as decimal(30,4)) as a from values ('12345678901234567890.0001'), "
+                         "('12345678901234567890.0002'), ('12345678901234567890.0009') as t(x)")
+    assert str(exact_quantiles(decimals, ["a"], [0.5]).first()["exact"]) == "12345678901234567890.000200"
+    odd = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),)], "a double")
+    values = [r["value"] for r in exact_quantiles(odd, ["a"], [0.0, 0.5, 1.0], "nearest").orderBy("prob").collect()]
+    assert values[:2] == [1.0, 2.0] and values[2] != values[2]
+
+
 def test_list_length_stats(spark):
     lens = [0, 0, 1, 2, 2, 3, 9]
     df = spark.createDataFrame([(list(range(n)),) for n in lens] + [(None,)], "v array<int>")
@@ -105,17 +118,19 @@ def nodes(spark, depth):
     return spark.createDataFrame(data, "id string, parent_id string, name string")
 
 
-def test_tree_walk(spark):
-    got = walk_tree(nodes(spark, 3), 3).orderBy("level").collect()
-    assert [r["level"] for r in got] == [0, 1, 2, 3]
-    assert got[-1]["path"] == "n0 / n1 / n2 / n3"
+def test_tree_walk_goes_as_deep_as_the_tree(spark):
+    got = walk_tree(nodes(spark, 12)).orderBy("level").collect()
+    assert [r["level"] for r in got] == list(range(13))
+    assert got[3]["path"] == "n0 / n1 / n2 / n3"
     assert {r["id"]: r["child_cnt"] for r in child_counts(nodes(spark, 2)).collect()} == {
         "0": 1, "1": 1, "2": 0}
 
 
-def test_tree_deeper_than_asked_fails_loudly(spark):
-    with pytest.raises(Exception, match="deeper than 2"):
-        walk_tree(nodes(spark, 3), 2).collect()
+def test_tree_without_roots_or_with_a_ring(spark):
+    schema = "id string, parent_id string, name string"
+    assert walk_tree(spark.createDataFrame([], schema)).count() == 0
+    ring = spark.createDataFrame([("r", None, "r"), ("a", "b", "a"), ("b", "a", "b")], schema)
+    assert [r["id"] for r in walk_tree(ring).collect()] == ["r"]
 
 
 def test_samples_have_the_asked_size(spark):

@@ -1,12 +1,21 @@
 """Streaming forms give the batch result however files are split."""
 
+import datetime as dt
 import time
 
 from conftest import rows
 from marketlake.plans.silver import bronze_to_silver
 from marketlake.sources.jsonl import scan_jsonl_stream
 from marketlake.sources.tables import scan_partitioned
-from marketlake.streaming.ingest import append_to_parquet, first_seen, stream_to_silver
+from marketlake.streaming.ingest import (
+    append_to_parquet,
+    first_seen,
+    publish_window_counts,
+    read_window_counts,
+    rows_dropped_late,
+    stream_to_silver,
+    window_counts,
+)
 from test_jsonl import write
 from test_silver import line
 
@@ -22,7 +31,9 @@ def bronze(tmp_path):
 
 def test_stream_equals_batch_and_continues(spark, tmp_path):
     path, out, state = bronze(tmp_path), str(tmp_path / "out"), str(tmp_path / "state")
-    stream_to_silver(scan_jsonl_stream(spark, path, max_files=1), out, state).awaitTermination()
+    ledger = str(tmp_path / "ledger")
+    stream_to_silver(scan_jsonl_stream(spark, path, max_files=1), out, state, ledger_path=ledger).awaitTermination()
+    assert rows(spark.read.json(ledger).select("lines_read", "lines_without_id")) == [(2, 0), (3, 1)]
     bronze_to_silver(spark, path, str(tmp_path / "batch"))
     cols = ["id", "name", "year", "month", "day"]
     assert rows(scan_partitioned(spark, out).select(*cols)) == rows(
@@ -42,3 +53,32 @@ def test_first_seen_drops_repeats_across_files(spark, tmp_path):
     append_to_parquet(first_seen(records.filter("id is not null"), "30 days").select("id"), out,
                       str(tmp_path / "state")).awaitTermination()
     assert rows(spark.read.parquet(out)) == [("1",), ("2",), ("3",)]
+
+
+def test_windows_are_published_open_and_late_rows_count(spark, tmp_path):
+    """Two files, the second with a row two months late; a replayed batch changes nothing."""
+    events = lambda *times: spark.createDataFrame(
+        [(dt.datetime.fromisoformat(t),) for t in times], "ts timestamp_ntz").coalesce(1)
+    events("2025-12-01T10:05:00", "2025-12-01T10:50:00").write.parquet(str(tmp_path / "in" / "a"))
+    stream = lambda: spark.readStream.schema("ts timestamp_ntz").option(
+        "recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    publish_window_counts(stream(), "ts", "1 hour", out, state).awaitTermination()
+    events("2025-12-01T10:59:00", "2025-10-01T10:00:00").write.parquet(str(tmp_path / "in" / "b"))
+    publish_window_counts(stream(), "ts", "1 hour", out, state).awaitTermination()
+    publish_window_counts(stream(), "ts", "1 hour", out, state).awaitTermination()
+    got = [(r["start"].month, r["start"].hour, r["found"]) for r in read_window_counts(spark, out).orderBy("start").collect()]
+    assert got == [(10, 10, 1), (12, 10, 3)]
+
+
+def test_rows_behind_the_watermark_are_counted(spark, tmp_path):
+    day = lambda d: dt.datetime(2025, 12, d, 10)
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    for k, days in enumerate([(1, 20), (25,), (2, 26)]):
+        spark.createDataFrame([(day(d),) for d in days], "ts timestamp_ntz").coalesce(1).write.parquet(str(source / str(k)))
+        time.sleep(1.1)
+    stream = spark.readStream.schema("ts timestamp_ntz").option("recursiveFileLookup", "true").option(
+        "maxFilesPerTrigger", 1).parquet(str(source))
+    done = append_to_parquet(window_counts(stream, "ts", "1 day", "1 day"), out, str(tmp_path / "state"))
+    done.awaitTermination()
+    assert rows_dropped_late(done) == 1
