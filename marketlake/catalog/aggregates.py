@@ -4,14 +4,12 @@ from pyspark.sql import functions as F
 
 from marketlake.catalog.base import VAC, events, query, table, vacancies
 from marketlake.functions.lists import first_item, list_len
-from marketlake.functions.times import zone_day
 from marketlake.operators.dedup import distinct_rows_of_top_key, duplicate_share
 from marketlake.operators.facets import facet_counts
 from marketlake.operators.profile import (
     column_summary,
     empty_list_report,
     fill_report,
-    list_column_report,
     list_length_stats,
     null_counts,
     null_report,
