@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.text import ALNUM, Chunk, filter_rows, ngrams, text_chunks
+from marketlake.llm.text import ALNUM, Chunk, filter_rows, ngrams, small_batches, text_chunks
 
 SEED_WORDS = 3
 #: An n-gram is rare if at most this share of all documents holds it, or if it is not much
@@ -239,6 +239,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {id_type}, item_id {item_type}, score double, first_word long, end_word long"
+    small_batches(docs.sparkSession)
     parts = []
     for block in _rare_blocks(docs, benchmark, text_col):
         parts.append(docs.select(id_col, text_col).mapInArrow(_pairs(block, threshold, id_col), schema))

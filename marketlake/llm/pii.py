@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm.text import small_batches
 from marketlake.session import materialize
 
 #: Kinds in the order in which spans with one start are listed; the last two are the method's own.
@@ -254,6 +255,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 [batch.column(0), *[pa.array(c) for c in counts], pa.array(base), pa.array(proposed)],
                 [id_col, *[f"n_{k}" for k in BASE_KINDS], "base", "proposed"])
 
+    small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     sums = ", ".join(f"n_{k} long" for k in BASE_KINDS)
     return docs.select(id_col, text_col).mapInArrow(

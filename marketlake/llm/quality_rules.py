@@ -22,7 +22,6 @@ def _over(part: str, whole: str, percent: int) -> Column:
 
 
 
-
 def _rules() -> dict[str, Column]:
     """Rule -> condition under which a document fails it; bit k belongs to the k-th name
     of ``RULE_NAMES``, which is only ever appended to, so older ledgers keep their meaning.

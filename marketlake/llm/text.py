@@ -13,10 +13,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
+#: Rows that Spark hands to a Python worker at a time; texts are long, so fewer than by default.
+BATCH_ROWS = 1000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _LETTERS = np.random.default_rng(2024).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -161,6 +163,11 @@ def text_chunks(column: pa.Array, lower: str = "") -> Iterator[Chunk]:
         at = stop
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound what an Arrow batch of texts takes, in the JVM and in the worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def map_chunks(df: DataFrame, keep: list[str], text: str,
                work: Callable[[Chunk], dict[str, np.ndarray]], schema: str,
                lower: str = "") -> DataFrame:
@@ -177,6 +184,7 @@ def map_chunks(df: DataFrame, keep: list[str], text: str,
                 columns += [v if isinstance(v, pa.Array) else pa.array(v) for v in found.values()]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, *found])
 
+    small_batches(df.sparkSession)
     names = [f"k{k}" for k in range(len(keep))]
     kept = ", ".join(f"`{n}` {df.schema[c].dataType.simpleString()}" for n, c in zip(names, keep))
     plain = df.select(*[df[c].alias(n) for n, c in zip(names, keep)], df[text].alias("text"))
@@ -186,6 +194,7 @@ def map_chunks(df: DataFrame, keep: list[str], text: str,
 
 def filter_rows(df: DataFrame, text: str, keep: Callable[[Chunk], np.ndarray], lower: str = "") -> DataFrame:
     """Rows of ``df`` whose text ``keep`` approves of (a boolean a document); no column changes."""
+    small_batches(df.sparkSession)
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

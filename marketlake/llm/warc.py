@@ -19,6 +19,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.llm.text import small_batches
 from marketlake.session import materialize, scratch_path
 
 #: Payloads shorter than this are always stored.
@@ -234,6 +235,7 @@ def archive_pages(pages: DataFrame, spark: SparkSession) -> DataFrame:
     missing would show a null.  Repeated rows give repeated records; an empty table gives
     no archives and no rows.
     """
+    small_batches(spark)
     records = plan_records(pages, F.col("page_id"), F.col("url"), F.col("html"))
     files = write_archives(records, scratch_path(spark, "warc"))
     index = index_archives(files)
