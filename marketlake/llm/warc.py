@@ -28,6 +28,8 @@ REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 256 << 20
 #: Ranges closer than the gap are read together, up to the size of one request.
 READ_GAP, READ_BYTES = 64 << 10, 8 << 20
+#: Archive bytes that one task reads.
+TASK_BYTES = 64 << 20
 _END = b"\r\n\r\n"
 _RECORD = "record_id string, url string, record_type string, payload_digest string, refers_to string"
 INDEX_SCHEMA = f"file string, offset long, length long, {_RECORD}"
@@ -174,7 +176,8 @@ def index_archives(files: DataFrame) -> DataFrame:
                             rows = []
                 yield pd.DataFrame(rows, columns=names)
 
-    spread = files.select("file").repartition(F.col("file"))
+    # A task a file: the rows are names, so their own size says nothing about the work.
+    spread = files.select("file").repartition(max(files.count(), 1))
     return materialize(spread.mapInPandas(run, INDEX_SCHEMA), "warc-index")
 
 
@@ -223,7 +226,10 @@ def read_records(index: DataFrame, columns: str = "payload string",
         yield pd.DataFrame(rows, columns=names)
 
     placed = index.select("file", "offset", "length", "payload_digest")
-    near = placed.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # Tasks by the bytes to be read, which the few bytes of an index row do not show.
+    total = placed.agg(F.sum("length")).first()[0] or 0
+    tasks = max(-(-total // TASK_BYTES), index.sparkSession.sparkContext.defaultParallelism)
+    near = placed.repartitionByRange(int(tasks), "file", "offset").sortWithinPartitions("file", "offset")
     return near.mapInPandas(run, schema)
 
 
