@@ -23,6 +23,7 @@ from marketlake.llm.text import NOT_SPACE, Chunk, map_chunks
 from marketlake.session import materialize
 
 SEED = 42
+PRINTS_PER_TASK = 500_000
 
 
 def shingle_hashes(chunk: Chunk, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -128,6 +129,9 @@ def links(prints: DataFrame, max_bits: int = 2, width: int = 4) -> DataFrame:
     if max_bits not in (0, 1, 2):
         raise ValueError("max_bits must be 0, 1 or 2")
     prints = materialize(prints.select("bits").filter("bits is not null").distinct(), "prints")
+    # Each fingerprint becomes some thirty rows, so tasks are cut by fingerprints, not by bytes.
+    tasks = max(prints.count() // PRINTS_PER_TASK + 1, prints.sparkSession.sparkContext.defaultParallelism)
+    prints = prints.repartition(tasks)
     spread = _cells(prints, width, 1 if max_bits else 0)
     shared = spread.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("cell")
     met = spread.join(shared, "cell", "left_semi")
