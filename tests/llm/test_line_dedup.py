@@ -72,3 +72,15 @@ def test_empty_table(spark, make_docs):
 def test_no_words_removed_by_one_line_copies(spark):
     docs = spark.createDataFrame([(k, f"{words(k, 30)}\nsame line here") for k in range(30)], "doc_id long, text string")
     assert line_dedup.deduplicate_lines(docs).agg(F.sum("lines_removed")).first()[0] == 0
+
+
+def test_a_passage_that_begins_or_ends_inside_a_line_stays(spark):
+    """The unit is a whole line, as in the SQL: the README states what that leaves."""
+    passage = words(3, 60)
+    inside = [f"{words(k, 8)} {passage} {words(k + 10, 8)}" for k in (1, 2)]
+    # 45 words of whole lines in common, and 15 more at both ends inside longer lines.
+    whole = words(4, 45).replace(" ", "\n")
+    across = [f"{words(k, 8)} {words(5, 15)}\n{whole}\n{words(6, 15)} {words(k + 10, 8)}" for k in (21, 22)]
+    docs = spark.createDataFrame(list(enumerate([*inside, *across])), "doc_id long, text string")
+    kept = {r.doc_id: (r.text, r.words_removed) for r in line_dedup.deduplicate_lines(docs).collect()}
+    assert kept == {k: (t, 0) for k, t in enumerate([*inside, *across])}
