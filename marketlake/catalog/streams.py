@@ -10,11 +10,12 @@ from marketlake.streaming.ingest import (
     append_to_parquet,
     first_seen,
     late_rows,
+    publish_closed_windows,
     publish_window_counts,
+    read_accounts,
+    read_closed_windows,
     read_window_counts,
-    rows_dropped_late,
     stream_to_silver,
-    window_counts,
 )
 
 
@@ -62,16 +63,17 @@ def r3_accounted(spark, sf):
     path = scratch_path(spark, "r3_closed")
     schema = events(spark, sf).schema
     stream = spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet")
-    done = append_to_parquet(window_counts(stream, "ts", "1 hour", "1 hour", ["event_type"]), path,
-                             scratch_path(spark, "r3_closed_state"), spark.sparkContext.defaultParallelism)
-    _finish(done)
-    closed = spark.read.parquet(path)
+    _finish(publish_closed_windows(stream, "ts", "1 hour", "1 hour", path, scratch_path(spark, "r3_closed_state"),
+                                   ["event_type"]))
+    closed = read_closed_windows(spark, path, ["event_type"])
+    accounts = read_accounts(spark, path)
     ev = events(spark, sf)
     still_open = ev.filter(F.date_trunc("hour", "ts").cast("timestamp_ntz") + F.expr("interval 1 hour")
                            > ev.agg(F.max("ts") - F.expr("interval 1 hour")).scalar())
     return ev.agg(F.count(F.lit(1)).alias("row_cnt")).select("row_cnt", (
-        F.col("row_cnt") == closed.agg(F.sum("found")).scalar() + still_open.agg(F.count(F.lit(1))).scalar()
-        + F.lit(rows_dropped_late(done))).alias("accounted"))
+        F.col("row_cnt") == closed.agg(F.coalesce(F.sum("found"), F.lit(0))).scalar()
+        + still_open.agg(F.count(F.lit(1))).scalar()
+        + accounts.select(F.col("rows_late") + F.col("rows_without_time")).scalar()).alias("accounted"))
 
 
 @query("r4_late_rows", f"""with {VAC}

@@ -65,22 +65,27 @@ def first_seen(records: DataFrame, delay: str, salts: int = 16) -> DataFrame:
     )
 
 
+def _windows(timed: DataFrame, width: str, by: list[str] | None, *more: Column) -> DataFrame:
+    return (
+        timed.groupBy(F.window("_t", width), *(by or []))
+        .agg(F.count(F.lit(1)).alias("found"), *more)
+        .withColumns({
+            "start": F.col("window.start").cast("timestamp_ntz"),
+            "end": F.col("window.end").cast("timestamp_ntz"),
+        })
+        .drop("window")
+    )
+
+
 def window_counts(events: DataFrame, ts: str, width: str, delay: str | None,
                   by: list[str] | None = None) -> DataFrame:
     """Tumbling-window counts; with a ``delay`` a window is emitted once the watermark
-    passes its end, and rows that come later still are dropped (see ``rows_dropped_late``).
+    passes its end, and rows that come later still are dropped (``publish_closed_windows``
+    keeps and counts them).
     """
     timed = events.withColumn("_t", F.col(ts).cast("timestamp"))
-    return (
-        (timed.withWatermark("_t", delay) if delay else timed)
-        .groupBy(F.window("_t", width), *(by or []))
-        .agg(F.count(F.lit(1)).alias("found"))
-        .select(
-            F.col("window.start").cast("timestamp_ntz").alias("start"),
-            F.col("window.end").cast("timestamp_ntz").alias("end"),
-            *(by or []), "found",
-        )
-    )
+    found = _windows(timed.withWatermark("_t", delay) if delay else timed, width, by)
+    return found.select("start", "end", *(by or []), "found")
 
 
 def publish_window_counts(events: DataFrame, ts: str, width: str, path: str, checkpoint: str,
@@ -107,10 +112,80 @@ def read_window_counts(spark: SparkSession, path: str, by: list[str] | None = No
     return spark.read.parquet(path).groupBy("start", "end", *(by or [])).agg(F.sum("found").alias("found"))
 
 
+def publish_closed_windows(events: DataFrame, ts: str, width: str, delay: str, path: str, checkpoint: str,
+                           by: list[str] | None = None) -> StreamingQuery:
+    """Counts of windows that close once the watermark passes their end, with all rows accounted for.
+
+    The watermark is the newest time of all micro-batches before, less ``delay``; a row whose
+    window it has passed is late.  Each micro-batch writes folders ``batch=<id>``, which a
+    replay replaces: ``counts`` (by window, and whether late), ``rows`` (rows read, late and
+    without a time, and the watermark after it) and ``late`` (the late rows themselves).
+    ``read_closed_windows`` and ``read_accounts`` read them; all stays however many
+    micro-batches there are.
+    """
+    def land(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mark = None
+        if batch_id:
+            mark = spark.read.schema(_ACCOUNT).parquet(f"{path}/rows/batch={batch_id - 1}").first()["watermark"]
+        passed = F.lit(mark).cast("timestamp_ntz")
+        late = F.coalesce(F.col("end") <= passed, F.lit(False))
+        timed = batch.withColumn("_t", F.col(ts).cast("timestamp"))
+        counts, where = f"{path}/counts/batch={batch_id}", f"{path}/rows/batch={batch_id}"
+        _windows(timed, width, by, F.max("_t").alias("newest")).withColumn("late", late).write.mode(
+            "overwrite").parquet(counts)
+        found = spark.read.parquet(counts)
+        # F.window leaves out rows without a time.
+        timeless = timed.filter("_t is null").agg(F.count(F.lit(1)).alias("rows_without_time"))
+        seen = found.agg(F.coalesce(F.sum("found"), F.lit(0)).alias("timed"),
+                         F.coalesce(F.sum(F.when(F.col("late"), F.col("found"))), F.lit(0)).alias("rows_late"),
+                         F.greatest((F.max("newest") - F.expr(f"interval {delay}")).cast("timestamp_ntz"),
+                                    passed).alias("watermark"))
+        seen.crossJoin(timeless).select(
+            (F.col("timed") + F.col("rows_without_time")).alias("rows_read"), "rows_late", "rows_without_time",
+            "watermark").write.mode("overwrite").parquet(where)
+        if spark.read.schema(_ACCOUNT).parquet(where).first()["rows_late"]:
+            window = F.window("_t", width)["end"].cast("timestamp_ntz")
+            timed.withColumn("_end", window).filter(F.col("_end") <= passed).drop("_t", "_end").write.mode(
+                "overwrite").parquet(f"{path}/late/batch={batch_id}")
+
+    return (
+        events.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+_ACCOUNT = "rows_read long, rows_late long, rows_without_time long, watermark timestamp_ntz"
+
+
+def read_accounts(spark: SparkSession, path: str) -> DataFrame:
+    """One row over all micro-batches so far: rows read, rows late, rows without a time, watermark."""
+    return spark.read.schema(_ACCOUNT).parquet(f"{path}/rows").agg(
+        *[F.sum(c).alias(c) for c in ("rows_read", "rows_late", "rows_without_time")],
+        F.max("watermark").alias("watermark"))
+
+
+def read_closed_windows(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
+    """(start, end, by..., found) of the windows closed so far, without rows that came late."""
+    closed = F.col("end") <= read_accounts(spark, path).select("watermark").scalar()
+    return spark.read.parquet(f"{path}/counts").filter(~F.col("late")).filter(closed).groupBy(
+        "start", "end", *(by or [])).agg(F.sum("found").alias("found"))
+
+
 def rows_dropped_late(query: StreamingQuery) -> int:
-    """Rows that a finished stateful query left out because they were behind its watermark."""
-    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress
-               for op in p["stateOperators"])
+    """Least number of rows that a finished stateful query left out behind its watermark.
+
+    Spark counts them after its partial aggregation, so several late rows of one window and
+    task count as one, and keeps the last updates of a query only; an update that is no
+    longer kept raises an error.  ``publish_closed_windows`` counts all late rows.
+    """
+    progress = query.recentProgress
+    kept = int(query._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(progress) >= kept - 1:  # Spark drops the oldest one when it has so many
+        raise ValueError(f"updates before the last {len(progress)} may be lost: use publish_closed_windows")
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in progress for op in p["stateOperators"])
 
 
 def late_rows(records: DataFrame, file_date: Column) -> DataFrame:

@@ -1,8 +1,10 @@
 """Streaming forms give the batch result however files are split."""
 
 import datetime as dt
+import os
 import time
 
+import pytest
 from conftest import rows
 from marketlake.plans.silver import bronze_to_silver
 from marketlake.sources.jsonl import scan_jsonl_stream
@@ -10,7 +12,10 @@ from marketlake.sources.tables import scan_partitioned
 from marketlake.streaming.ingest import (
     append_to_parquet,
     first_seen,
+    publish_closed_windows,
     publish_window_counts,
+    read_accounts,
+    read_closed_windows,
     read_window_counts,
     rows_dropped_late,
     stream_to_silver,
@@ -82,3 +87,56 @@ def test_rows_behind_the_watermark_are_counted(spark, tmp_path):
     done = append_to_parquet(window_counts(stream, "ts", "1 day", "1 day"), out, str(tmp_path / "state"))
     done.awaitTermination()
     assert rows_dropped_late(done) == 1
+
+
+def test_all_late_rows_of_one_window_are_counted_and_kept(spark, tmp_path):
+    """Four late rows of one window and task, in two runs, a replayed batch and a row without a time."""
+    times = lambda *days: [(dt.datetime(2025, 12, d, 10) if d else None,) for d in days]
+    source, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+
+    def add(name, days):
+        spark.createDataFrame(times(*days), "ts timestamp_ntz").coalesce(1).write.parquet(str(source / name))
+        time.sleep(1.1)
+
+    def run(checkpoint=state):
+        stream = spark.readStream.schema("ts timestamp_ntz").option("recursiveFileLookup", "true").option(
+            "maxFilesPerTrigger", 1).parquet(str(source))
+        publish_closed_windows(stream, "ts", "1 day", "1 day", out, checkpoint).awaitTermination()
+        return tuple(read_accounts(spark, out).first())[:3]
+
+    add("0", (1, 20))
+    add("1", (25, 25, 0))
+    assert run() == (5, 0, 1)
+    add("2", (2, 2, 2, 2, 26, 24))
+    assert run() == (11, 4, 1)
+    closed = lambda: sorted((r["start"].day, r["found"]) for r in read_closed_windows(spark, out).collect())
+    assert closed() == [(1, 1), (20, 1), (24, 1)]
+    assert rows(spark.read.parquet(out + "/late").select("ts")) == rows(
+        spark.createDataFrame(times(2, 2, 2, 2), "ts timestamp_ntz"))
+    # All batches once more, from a new checkpoint onto the same folders.
+    assert run(state + "-2") == (11, 4, 1)
+    assert closed() == [(1, 1), (20, 1), (24, 1)]
+
+
+def test_late_rows_are_counted_beyond_the_updates_spark_keeps(spark, tmp_path):
+    """More micro-batches than updates are kept, all late rows in the second one."""
+    source, kept = tmp_path / "in", "spark.sql.streaming.numRecentProgressUpdates"
+    source.mkdir()
+    for k in range(5):
+        days = ["2025-12-20"] if k != 1 else ["2025-12-01"] * 3
+        (source / f"{k}.json").write_text("".join(f'{{"ts":"{d}T10:00:00"}}\n' for d in days))
+        os.utime(source / f"{k}.json", (1_700_000_000 + k, 1_700_000_000 + k))
+    stream = lambda: spark.readStream.schema("ts timestamp_ntz").option("maxFilesPerTrigger", 1).option(
+        "maxFileAge", "10000d").json(str(source))
+    out = str(tmp_path / "out")
+    spark.conf.set(kept, "2")
+    try:
+        publish_closed_windows(stream(), "ts", "1 day", "1 day", out, str(tmp_path / "state")).awaitTermination()
+        assert tuple(read_accounts(spark, out).first())[:3] == (7, 3, 0)
+        done = append_to_parquet(window_counts(stream(), "ts", "1 day", "1 day"), str(tmp_path / "closed"),
+                                 str(tmp_path / "closed-state"))
+        done.awaitTermination()
+        with pytest.raises(ValueError, match="publish_closed_windows"):
+            rows_dropped_late(done)
+    finally:
+        spark.conf.unset(kept)
