@@ -7,10 +7,9 @@ from marketlake.catalog.jobs import _DAYS, _FLAT, TIES, dated_records, flat_silv
 from marketlake.sources.jsonl import scan_jsonl_stream
 from marketlake.sources.tables import scan_partitioned
 from marketlake.streaming.ingest import (
-    append_to_parquet,
-    first_seen,
     late_rows,
     publish_closed_windows,
+    publish_first_seen,
     publish_window_counts,
     read_accounts,
     read_closed_windows,
@@ -39,11 +38,9 @@ def r1(spark, sf):
 @query("r2_first_seen", f"with {VAC} select distinct id from vac")
 def r2(spark, sf):
     path = scratch_path(spark, "r2")
-    records = scan_jsonl_stream(spark, bronze(spark, sf), max_files=15).select("id", "published_at")
-    _finish(append_to_parquet(first_seen(records, "60 days").select("id"), path,
-                              scratch_path(spark, "r2_state"),
-                              spark.sparkContext.defaultParallelism))
-    return spark.read.parquet(path)
+    records = scan_jsonl_stream(spark, bronze(spark, sf), max_files=15)
+    _finish(publish_first_seen(records, path, scratch_path(spark, "r2_state")))
+    return spark.read.parquet(path).select("id")
 
 
 @query("r3_window_counts", """with w as (select date_trunc('hour', ts)::timestamp as "start",

@@ -52,8 +52,10 @@ def with_event_time(records: DataFrame) -> DataFrame:
 def first_seen(records: DataFrame, delay: str, salts: int = 16) -> DataFrame:
     """Drop repeats of an id across files; state older than ``delay`` is forgotten.
 
-    Repeats are first dropped inside (id, salt), so the copies of a very frequent id
-    are spread over tasks, and at most ``salts`` of them reach the final step.
+    Rows behind the watermark are dropped, so an id whose first row comes later than ``delay``
+    never appears: ``publish_first_seen`` keeps it.  Repeats are first dropped inside
+    (id, salt), so the copies of a very frequent id are spread over tasks, and at most
+    ``salts`` of them reach the final step.
     """
     # A seeded draw per row: a re-run of a scan task draws the same numbers.
     salted = with_event_time(records).withColumn("_salt", F.floor(F.rand(0) * salts))
@@ -65,6 +67,31 @@ def first_seen(records: DataFrame, delay: str, salts: int = 16) -> DataFrame:
     )
 
 
+def publish_first_seen(records: DataFrame, path: str, checkpoint: str, key: str = "id") -> StreamingQuery:
+    """Every key of a stream once, as a table that is complete after every micro-batch.
+
+    Each micro-batch writes the keys that no earlier one has to a folder ``batch=<id>``, which
+    a replay replaces.  There is no watermark and no state that forgets: a key is kept however
+    late it comes, a null key too.  Keys are made distinct inside each input task before the
+    shuffle, so a very frequent one sends one row a task.
+    """
+    def land(batch: DataFrame, batch_id: int) -> None:
+        new = batch.select(F.col(key).alias(key)).distinct()
+        if batch_id:
+            stored = batch.sparkSession.read.schema(new.schema.add("batch", "long")).option(
+                "basePath", path).parquet(path)
+            before = stored.filter(F.col("batch") < batch_id).select(F.col(key).alias("_seen"))
+            new = new.join(before, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
+        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        records.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def _windows(timed: DataFrame, width: str, by: list[str] | None, *more: Column) -> DataFrame:
     return (
         timed.groupBy(F.window("_t", width), *(by or []))

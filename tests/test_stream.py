@@ -1,6 +1,7 @@
 """Streaming forms give the batch result however files are split."""
 
 import datetime as dt
+import json
 import os
 import time
 
@@ -13,6 +14,7 @@ from marketlake.streaming.ingest import (
     append_to_parquet,
     first_seen,
     publish_closed_windows,
+    publish_first_seen,
     publish_window_counts,
     read_accounts,
     read_closed_windows,
@@ -140,3 +142,20 @@ def test_late_rows_are_counted_beyond_the_updates_spark_keeps(spark, tmp_path):
             rows_dropped_late(done)
     finally:
         spark.conf.unset(kept)
+
+
+def test_ids_later_than_any_delay_are_first_seen_once(spark, tmp_path):
+    """An id whose first row comes months late, repeats across files, a null id, a replayed batch."""
+    source, out = tmp_path / "in", str(tmp_path / "seen")
+    source.mkdir()
+    files = [[("1", "2025-12-20"), ("1", "2025-12-21"), (None, "2025-12-20")], [("2", "2025-12-25")],
+             [("late", "2025-06-01"), ("1", "2025-12-26"), (None, "2025-12-26")]]
+    for k, lines in enumerate(files):
+        (source / f"{k}.json").write_text("".join(
+            json.dumps({"id": i, "published_at": f"{d}T10:00:00+0000"}) + "\n" for i, d in lines))
+        os.utime(source / f"{k}.json", (1_700_000_000 + k, 1_700_000_000 + k))
+    stream = lambda: spark.readStream.schema("id string, published_at string").option(
+        "maxFilesPerTrigger", 1).option("maxFileAge", "10000d").json(str(source))
+    for checkpoint in ("state", "state", "replay"):
+        publish_first_seen(stream(), out, str(tmp_path / checkpoint)).awaitTermination()
+        assert rows(spark.read.parquet(out).select("id")) == [("1",), ("2",), ("late",), (None,)]
