@@ -98,7 +98,7 @@ def s6(spark, sf):
     )
     path = written(spark, sf, "customer_csv",
                    lambda p: cust.write.option("sep", ";").option("header", True).csv(p))
-    return scan_dump(spark, path, ";", multiline=False)
+    return scan_dump(spark, path, ";")
 
 
 @query("s7_file_inventory", """select ts::date as day, count(*) as row_cnt, true as has_size

@@ -21,14 +21,15 @@ DEFAULT_SOURCE = "hh"
 class Dump:
     """Layout of one dump: separator, time layout and canonical name -> source column.
 
-    ``multiline`` reads quoted line breaks, at the price of one task a file.
+    Files with quoted line breaks are found by a pass over the lines and read in one task
+    each; ``multiline`` True or False says it beforehand.
     """
 
     name: str
     sep: str
     time_layout: str
     columns: dict[str, str] = field(default_factory=dict)
-    multiline: bool = False
+    multiline: bool | None = None
 
 
 # --- Fixed values: layouts of the published dumps ----------------------------

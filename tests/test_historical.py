@@ -11,7 +11,7 @@ from marketlake.plans.historical import (
     merge_dumps,
     to_canonical,
 )
-from marketlake.sources.dumps import scan_dump
+from marketlake.sources.dumps import files_with_line_breaks, scan_dump
 
 A = Dump("a.csv", ";", "dd.MM.yyyy HH:mm",
          {"vacancy_id": "id_vac", "vacancy_name": "name", "date_published": "published_at",
@@ -73,3 +73,17 @@ def test_a_dump_without_ids_is_kept_and_losses_are_counted(spark, tmp_path):
     assert [r["vacancy_name"] for r in out.filter("file_source = 'c.csv'").orderBy("vacancy_name").collect()] == [
         None, "x", "y"]
     assert rows(left_out(canonical_dumps(spark, where, [A, B, c]))) == [("a.csv", 7, 1), ("b.csv", 2, 0), ("c.csv", 4, 0)]
+
+
+def test_quoted_line_breaks_are_found_without_being_declared(spark, tmp_path):
+    """A default dump of three files; line breaks in a field of one and in the header of two."""
+    part = tmp_path / "d.csv"
+    part.mkdir()
+    (part / "1.csv").write_text('id;name;"no\nte"\n1;"a ""b""";x\n')
+    (part / "2.csv").write_text('id;name;"no\nte"\n2;"two; ""q""\nthree\n\n4;5";y\n3;"z";\n')
+    (part / "3.csv").write_text('id;name;note\n4;plain;x\n5;"p";y\n')
+    d = Dump("d.csv", ";", "yyyy-MM-dd", {"vacancy_id": "id", "vacancy_name": "name"})
+    found = consolidate(spark, str(tmp_path), [d]).select("vacancy_id", "vacancy_name")
+    assert rows(found) == [("1", 'a "b"'), ("2", 'two; "q"\nthree\n\n4;5'), ("3", "z"), ("4", "plain"), ("5", "p")]
+    assert [f[-5:] for f in sorted(files_with_line_breaks(spark, str(part)))] == ["1.csv", "2.csv"]
+    assert rows(left_out(canonical_dumps(spark, str(tmp_path), [d]))) == [("d.csv", 5, 0)]
