@@ -11,6 +11,7 @@ from marketlake.llm import (
     decontaminate,
     licenses,
     line_dedup,
+    merkle,
     mixing,
     pii,
     quality_classifier,
@@ -98,3 +99,11 @@ def op7(spark, sf):
 @query("op10_decontaminate")
 def op10(spark, sf):
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op11_merkle_manifest", merkle.SQL)
+def op11(spark, sf):
+    docs = table(spark, sf, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    given = merkle.tampered_leaf(docs, fields, changed="n_chars", key="doc_id")
+    return merkle.manifest(docs, fields, group="lang", key="doc_id", given=given)
