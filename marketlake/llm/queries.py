@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm import (
     decontaminate,
+    divergence,
     licenses,
     line_dedup,
     merkle,
@@ -107,3 +108,8 @@ def op11(spark, sf):
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
     given = merkle.tampered_leaf(docs, fields, changed="n_chars", key="doc_id")
     return merkle.manifest(docs, fields, group="lang", key="doc_id", given=given)
+
+
+@query("op13_source_divergence", divergence.SQL)
+def op13(spark, sf):
+    return divergence.audit(table(spark, sf, "documents"))
