@@ -18,6 +18,7 @@ from marketlake.llm import (
     quality_classifier,
     quality_rules,
     simhash,
+    suffix_dedup,
     toxicity,
     warc,
 )
@@ -113,3 +114,8 @@ def op11(spark, sf):
 @query("op13_source_divergence", divergence.SQL)
 def op13(spark, sf):
     return divergence.audit(table(spark, sf, "documents"))
+
+
+@query("op12_suffix_dedup")
+def op12(spark, sf):
+    return suffix_dedup.deduplicate(table(spark, sf, "documents")).drop("spans")
