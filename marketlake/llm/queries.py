@@ -116,6 +116,6 @@ def op13(spark, sf):
     return divergence.audit(table(spark, sf, "documents"))
 
 
-@query("op12_suffix_dedup")
+@query("op12_suffix_dedup", suffix_dedup.SQL)
 def op12(spark, sf):
     return suffix_dedup.deduplicate(table(spark, sf, "documents")).drop("spans")

@@ -324,3 +324,25 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
         F.array().cast(SPANS).alias("spans"), F.col("sha").alias("kept_sha256"))
     whole = untouched.unionByName(found.filter("not pending").select(*out)).unionByName(answered)
     return whole.withColumnRenamed("id", id_col)
+
+
+#: Every window of 400 bytes by its MD5, their runs, and the bytes between the runs.
+SQL = """
+with d as (select row_number() over () as doc, doc_id, encode(coalesce(text, '')) as x,
+  strlen(coalesce(text, ''))::bigint as n from documents),
+w as (select doc, p, md5(x[p + 1 : p + 400]) as h
+ from (select doc, x, unnest(range(greatest(n - 399, 0))) as p from d)),
+twice as (select doc, p from w qualify count(*) over (partition by h) > 1),
+steps as (select doc, p, case when p <= lag(p) over (partition by doc order by p) + 400 then 0 else 1 end as new
+ from twice),
+numbered as (select doc, p, sum(new) over (partition by doc order by p) as run from steps),
+spans as (select doc, run, min(p) as a, max(p) + 400 as b from numbered group by doc, run),
+cuts as (select doc, a, b from spans union all select doc, n, n from d),
+kept as (select c.doc, string_agg(hex(d.x[c.last + 1 : c.a]), '' order by c.a, c.last) as bytes
+ from (select doc, a, coalesce(lag(b) over (partition by doc order by a, b), 0) as last from cuts) c join d using (doc)
+ group by c.doc),
+sums as (select doc, sum(b - a) as gone, count(*) as n_spans from spans group by doc)
+select d.doc_id, d.n as n_bytes, coalesce(s.gone, 0)::bigint as n_removed, coalesce(s.n_spans, 0)::bigint as n_spans,
+ sha256(unhex(k.bytes)) as kept_sha256
+from d join kept k using (doc) left join sums s using (doc)
+"""
