@@ -31,7 +31,7 @@ from marketlake.session import materialize
 LENGTH = 400
 GRAM = 32
 #: Text bytes of a shard, on average; a longer document is a shard of its own.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: Fingerprints merged by one task, at most on average.
 MERGE_ROWS = 1 << 20
 SPANS = "array<struct<start:long,end:long>>"
@@ -125,9 +125,9 @@ def _repeats(data: np.ndarray, edges: np.ndarray, windows: np.ndarray,
     place = np.flatnonzero(flags)
     starts, ends = runs(flags, edges)
     sizes = ends - starts
-    stop = np.repeat(np.cumsum(sizes), sizes)
+    stop = np.repeat(np.cumsum(sizes), sizes).astype(np.int32)
     piece = data[place]
-    order = suffix_array(piece, stop)
+    order = suffix_array(piece, stop, length)
     shared = common_prefixes(piece, stop, order, length)[order]
     # A break before every suffix that does not share a whole window with the one before.
     breaks = np.append(shared < length, True)

@@ -30,22 +30,23 @@ def sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
     return best(values[: len(values) - (width - n)], values[width - n:]) if n < width else values
 
 
-def suffix_array(data: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Places in the order of their suffixes, by Larsson and Sadakane's refinement.
+def suffix_array(data: np.ndarray, stop: np.ndarray, depth: int) -> np.ndarray:
+    """Places in the order of the first ``depth`` bytes (or a few more) of their suffixes, by
+    Larsson and Sadakane's refinement.
 
-    A suffix ends at ``stop`` of its place, the end of its piece; equal suffixes stand in
-    the order of their places.  Each round doubles the sorted width and sorts again only
-    the groups that are still tied, by the rank of what follows.
+    A suffix ends at ``stop`` of its place, the end of its piece; suffixes that are equal so
+    far stand in the order of their places.  Each round doubles the sorted width and sorts
+    again only the groups that are still tied, by the rank of what follows.
     """
     n = len(data)
     key = np.zeros(n, np.int64)
-    place = np.arange(n)
+    place = np.arange(n, dtype=np.int32)
     for k in range(_SYMBOLS):
         key <<= _SYMBOL_BITS
         inside = np.flatnonzero(place + k < stop)
         key[inside] += data[inside + k].astype(np.int64) + 1
-    order = np.argsort(key)
-    rank = np.empty(n, np.int64)
+    order = np.argsort(key).astype(np.int32)
+    rank = np.empty(n, np.int32)
     at, key = place, key[order]
     width = _SYMBOLS
     while True:
@@ -54,14 +55,18 @@ def suffix_array(data: np.ndarray, stop: np.ndarray) -> np.ndarray:
         new[1:-1] = key[1:] != key[:-1]
         first = np.flatnonzero(new[:-1])
         rank[order[at]] = at[np.repeat(first, np.diff(np.append(first, len(at))))]
-        at = at[~(new[:-1] & new[1:])]
-        if not len(at):
+        tied = ~(new[:-1] & new[1:])
+        at = at[tied]
+        if not len(at) or width >= depth:
+            # Tied to the end: the groups stay, their places ascend.
+            ends = np.argsort(rank[order[at]].astype(np.int64) * n + order[at])
+            order[at] = order[at][ends]
             return order
         own = order[at]
         after = own + width
         live = after < stop[own]
         # Suffixes that end here come first; they are equal and stay in the order of their places.
-        key = rank[own] * (2 * n) + np.where(live, n + rank[np.where(live, after, 0)], own)
+        key = rank[own].astype(np.int64) * (2 * n) + np.where(live, n + rank[np.where(live, after, 0)], own)
         sort = np.argsort(key)
         order[at], key = own[sort], key[sort]
         width *= 2
@@ -70,13 +75,18 @@ def suffix_array(data: np.ndarray, stop: np.ndarray) -> np.ndarray:
 def common_prefixes(data: np.ndarray, stop: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """For every place, the bytes its suffix shares with the one before it in ``order``, up to ``most``.
 
-    Kasai's walk: a place shares at least one byte less than the place before it.  The walk
-    over all places is cut into lanes that advance side by side.
+    ``order`` is sorted by ``most`` bytes at least.  Kasai's walk: a place shares at least one
+    byte less than the place before it, if the two suffixes that follow stand in the same
+    order; where a tie has put them the other way, the walk begins anew.  The walk over all
+    places is cut into lanes that advance side by side.
     """
     n = len(data)
-    out = np.zeros(n, np.int64)
-    before = np.full(n, -1)
+    out = np.zeros(n, np.int16 if most < 1 << 15 else np.int64)
+    before = np.full(n + 1, -1, np.int32)
     before[order[1:]] = order[:-1]
+    rank = np.empty(n + 1, np.int32)
+    rank[order] = np.arange(n, dtype=np.int32)
+    rank[n] = n
     step = max(-(-n // LANES), 256)
     at = np.arange(0, n, step)
     end = np.minimum(at + step, n)
@@ -90,7 +100,8 @@ def common_prefixes(data: np.ndarray, stop: np.ndarray, order: np.ndarray, most:
         here = np.where(more, shared, 0)
         more &= data[at + here] == data[other + here]
         out[at[~more]] = shared[~more]
-        shared = np.where(more, shared + 1, np.maximum(shared - 1, 0))
+        turned = rank[other + 1] > rank[at + 1]
+        shared = np.where(more, shared + 1, np.where(turned, 0, np.maximum(shared - 1, 0)))
         at = at + ~more
         open_ = at < end
         if not open_.all():

@@ -99,8 +99,10 @@ def test_suffix_array_and_common_prefixes(seed):
     ends = np.cumsum([len(p) for p in pieces])
     stop = np.repeat(ends, [len(p) for p in pieces])
     suffix = [bytes(data[k: stop[k]]) for k in range(len(data))]
-    order = suffixes.suffix_array(data, stop)
-    assert order.tolist() == sorted(range(len(data)), key=lambda k: (suffix[k], k))
+    whole = suffixes.suffix_array(data, stop, len(data))
+    assert whole.tolist() == sorted(range(len(data)), key=lambda k: (suffix[k], k))
+    order = suffixes.suffix_array(data, stop, 40)
+    assert [suffix[k][:40] for k in order] == [suffix[k][:40] for k in whole]
     shared = suffixes.common_prefixes(data, stop, order, 40)
     for a, b in zip(order[:-1], order[1:]):
         n = 0
