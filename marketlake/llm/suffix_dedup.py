@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -141,12 +141,12 @@ def _repeats(data: np.ndarray, edges: np.ndarray, windows: np.ndarray,
 
 
 def _fingerprints(data: np.ndarray, grams: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of every window, from unlike functions."""
+    """A 64-bit and a 32-bit hash of every window, from unlike functions."""
     chunk = Chunk(data, np.array([0, len(data)]), 0)
     second = np.zeros(len(at), np.uint64)
     for k in [*range(0, length - GRAM, GRAM), length - GRAM]:
         second = mix(second + grams[at + k])
-    return chunk.hashes(at, at + length), second
+    return chunk.hashes(at, at + length), (second >> np.uint64(32)).astype(np.uint32)
 
 
 def _shard(length: int, buckets: int, kind: pa.DataType):
@@ -159,7 +159,7 @@ def _shard(length: int, buckets: int, kind: pa.DataType):
         sent = first[_known(anchor[first], table, "crossing")]
         prints, second = _fingerprints(data, grams, sent, length)
         # A window that repeats in the shard needs no answer.
-        asked = np.where(np.isin(sent, twice), -1, sent)
+        asked = np.where(np.isin(sent, twice), -1, sent).astype(np.int32)
         pending = np.zeros(len(edges) - 1, bool)
         pending[np.searchsorted(edges, sent[asked >= 0], "right") - 1] = True
         removed, counts, spans, shas = _finish(data, edges, gone)
@@ -218,7 +218,7 @@ def _both(a: tuple, b: tuple) -> tuple:
 def _merge(table: pa.Table) -> pa.Table:
     """The sorted fingerprints of all shards in a range -> the asked windows that two shards hold."""
     sets = [tuple(np.frombuffer(table[c][k].as_py(), t) for c, t in (
-        ("prints", np.uint64), ("second", np.uint64), ("asked", np.int64))) for k in range(len(table))]
+        ("prints", np.uint64), ("second", np.uint32), ("asked", np.int32))) for k in range(len(table))]
     level = [(p, s, np.zeros(len(p), bool)) for p, s, _ in sets]
     while len(level) > 1:
         level = [_both(*level[k: k + 2]) if k + 1 < len(level) else level[k] for k in range(0, len(level), 2)]
@@ -253,6 +253,15 @@ def _answer(length: int, kind: pa.DataType):
     return run
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now.
+
+    It deletes them when the driver's JVM finds their jobs unreachable, which a small driver
+    may not look for until the query is over.  What later steps read is written.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def deduplicate(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
                 shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, spans, kept_sha256), a row a row of ``docs``.
@@ -311,6 +320,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
               "kept_sha256 string, start long, text string, pending boolean, bucket long, prints binary, "
               "second binary, asked binary")
     found = materialize(dealt.groupBy("home", "part").applyInArrow(_shard(length, buckets, kind), schema), "shards")
+    drop_shuffles(spark)
 
     hits = found.filter("bucket is not null").select("home", "part", "bucket", "prints", "second", "asked").groupBy(
         "bucket").applyInArrow(_merge, "home long, part int, hits array<long>")
