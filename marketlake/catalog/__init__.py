@@ -9,6 +9,7 @@ from marketlake.catalog import (  # noqa: F401
     relations,
     scalars,
     scans,
+    similar,
     slicing,
     streams,
 )
