@@ -10,6 +10,7 @@ from marketlake.catalog import (  # noqa: F401
     scalars,
     scans,
     similar,
+    skills,
     slicing,
     streams,
 )
