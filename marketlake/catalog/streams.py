@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from marketlake.catalog.base import VAC, bronze, events, query, scratch_path
+from marketlake.catalog.base import VAC, bronze, events, query, scratch_path, vacancies
 from marketlake.catalog.jobs import _DAYS, _FLAT, TIES, dated_records, flat_silver
 from marketlake.sources.jsonl import scan_jsonl_stream
 from marketlake.sources.tables import scan_partitioned
@@ -16,6 +16,12 @@ from marketlake.streaming.ingest import (
     read_window_counts,
     stream_to_silver,
 )
+from marketlake.streaming.state import (
+    open_windows,
+    publish_first_rows,
+    publish_watermarked_windows,
+    published_windows,
+)
 
 
 def _finish(stream_query):
@@ -78,3 +84,50 @@ select cast(ts as date) as file_date, cast(published_at_utc as date) as publishe
   cast(ts as date) <> cast(published_at_utc as date) as out_of_window from vac group by all""")
 def r4(spark, sf):
     return late_rows(dated_records(spark, sf), F.col("date"))
+
+
+@query("r2_first_rows", f"""with {VAC} select id, 1::bigint as row_cnt, true as is_source_row
+from vac group by id""")
+def r2_rows(spark, sf):
+    """One whole row an id, with the seen ids in Spark's state; whether it is a row of the input."""
+    path = scratch_path(spark, "r2_rows")
+    records = scan_jsonl_stream(spark, bronze(spark, sf), max_files=15)
+    _finish(publish_first_rows(records, path, scratch_path(spark, "r2_rows_state"), state_partitions=8))
+    fields = [F.col(c) for c in ("id", "name", "published_at", "salary", "schedule", "employer.name")]
+    first = spark.read.parquet(path).select("id", "url", F.to_json(F.struct(*fields)).alias("own"))
+    source = vacancies(spark, sf).select("url", F.to_json(F.struct(*fields)).alias("row"))
+    return first.join(source, "url", "left").groupBy("id").agg(
+        F.count(F.lit(1)).alias("row_cnt"), F.bool_and(F.col("own").eqNullSafe(F.col("row"))).alias("is_source_row"))
+
+
+# Events come in thirds of their days; a tenth of them a third later, so some come after their window closed.
+_THIRDS, _DELAY_HOURS = 3, 24
+
+
+@query("r3_watermarked_windows", f"""with e as (select *, (datediff('day', (select min(ts) from events), ts) * {_THIRDS}
+   // ((select datediff('day', min(ts), max(ts)) from events) + 1)) + (event_id % 10 = 0)::int as slice from events),
+marks as (select slice, max(epoch_ms(ts)) as newest from e group by slice),
+w as (select date_trunc('day', ts)::timestamp + interval 1 day as "end", event_type, slice,
+  epoch_ms(date_trunc('day', ts)::timestamp + interval 1 day) as end_ms from e),
+m as (select w.*, (select max(newest) from marks where marks.slice < w.slice) - {_DELAY_HOURS} * 3600000 as mark,
+  (select max(newest) from marks) - {_DELAY_HOURS} * 3600000 as last from w)
+select "end", event_type, count(*) filter (where end_ms > coalesce(mark, 0) and end_ms <= last) as closed,
+ count(*) filter (where end_ms > coalesce(mark, 0) and end_ms > last) as open,
+ count(*) filter (where end_ms <= mark) as late
+from m group by all""")
+def r3_watermarked(spark, sf):
+    """Rows of every window by what became of them, over several runs of one stream with late rows."""
+    base, path, state = (scratch_path(spark, f"r3_{x}") for x in ("in", "out", "state"))
+    ev = events(spark, sf)
+    ends = ev.agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
+    days = F.datediff("ts", "low") * _THIRDS / (F.datediff("high", "low") + 1)
+    sliced = ev.join(F.broadcast(ends)).withColumn("slice", F.floor(days) + (F.col("event_id") % 10 == 0).cast("int"))
+    for k in range(_THIRDS + 1):
+        sliced.filter(F.col("slice") == k).select(*ev.columns).write.mode("append").parquet(base)
+        stream = spark.readStream.schema(ev.schema).parquet(base)
+        _finish(publish_watermarked_windows(stream, "ts", "1 day", f"{_DELAY_HOURS} hours", path, state,
+                                            ["event_type"], state_partitions=8))
+    by = ["end", "event_type"]
+    return published_windows(spark, path, ["event_type"]).join(
+        open_windows(spark, state, ["event_type"]), by, "full").select(
+        *by, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("closed", "open", "late")])
