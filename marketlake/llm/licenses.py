@@ -2,9 +2,11 @@
 
 The words of some license notices are the index: (word, template, position, weight),
 weighed by how few documents of the whole corpus hold the word.  A document is looked up
-by its rarest licence words only; each such place proposes where a template would begin,
-the other words of the template are met at their relative positions, and a template
-counts if enough of its weight is there and its key phrase stands word for word.
+by the rarest words of the key phrases only, the licence words of highest weight that a
+verified notice cannot be without, so no notice is missed in any corpus.  Each such place
+proposes where a template would begin, the other words of the template are met at their
+relative positions, and a template counts if enough of its weight is there and its key
+phrase stands word for word.
 Everything is built-in functions over a row's word array, so nothing is shuffled but one
 count a template word.
 """
@@ -57,11 +59,11 @@ LEAST_SHARE = 0.5
 
 @dataclass
 class Index:
-    """Weights of the template words, and the anchors, (word, place): a template's rarest
-    words and a base phrase's rarest one."""
+    """Weights of the template words, and the anchors, (word, place): the rarest word of every
+    template's key phrase, with its place in the template, and of every base phrase."""
 
     weights: dict[str, float]
-    anchors: list[list[tuple[str, int]]]
+    anchors: list[tuple[str, int]]
     base_anchors: list[tuple[str, int]]
 
 
@@ -69,6 +71,12 @@ def _words(phrase: str) -> list[str]:
     return phrase.split()
 
 
+def _key_place(notice: str, key: str) -> int:
+    """The word of the notice at which its key phrase begins."""
+    template, phrase = _words(notice), _words(key)
+    return next(k for k in range(len(template)) if template[k: k + len(phrase)] == phrase)
+
+
 def _lowered(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), _UPPER, _UPPER.lower())
 
@@ -92,12 +100,12 @@ def build_index(docs: DataFrame, text_col: str = "text") -> Index:
     total = counts.pop(None, 0)
     weights = {w: math.log((total + 1) / (counts.get(w, 0) + 1)) + 0.1 for w in vocabulary()}
 
-    def rarest(phrase: str, number: int) -> list[tuple[str, int]]:
-        places = sorted(enumerate(_words(phrase)), key=lambda p: (counts.get(p[1], 0), p[0]))
-        return [(w, k) for k, w in places[:number]]
+    def rarest(phrase: str, first: int = 0) -> tuple[str, int]:
+        k, word = min(enumerate(_words(phrase)), key=lambda p: (counts.get(p[1], 0), p[0]))
+        return word, first + k
 
-    anchors = [rarest(notice, max(2, len(_words(notice)) // 3)) for _, notice, _ in TEMPLATES]
-    return Index(weights, anchors, [rarest(phrase, 1)[0] for phrase in BASE])
+    anchors = [rarest(key, _key_place(notice, key)) for _, notice, key in TEMPLATES]
+    return Index(weights, anchors, [rarest(phrase) for phrase in BASE])
 
 
 def _stands(words: Column, at: Column, phrase: list[str]) -> Column:
@@ -121,11 +129,10 @@ def _best_share(words: Column, hits: Column, index: Index, number: int) -> Colum
     """Largest aligned weight share of a template with its key phrase in place, else 0."""
     _, notice, key = TEMPLATES[number]
     template, phrase = _words(notice), _words(key)
-    offset = next(k for k in range(len(template)) if template[k: k + len(phrase)] == phrase)
+    offset = _key_place(notice, key)
     weight = [index.weights[w] for w in template]
-    starts = F.array_distinct(F.flatten(F.array(*[
-        F.transform(F.filter(hits, _phrase_at(words, [w])), _back(k)) for w, k in index.anchors[number]
-    ])))
+    anchor, at = index.anchors[number]
+    starts = F.transform(F.filter(hits, _phrase_at(words, [anchor])), _back(at))
 
     def share(start: Column) -> Column:
         there = [F.when(F.get(words, start + k) == w, F.lit(weight[k])).otherwise(F.lit(0.0))
@@ -146,7 +153,7 @@ def scan(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
     ``score`` is 1 for a base phrase, else the best aligned share.  Null and empty texts
     have no words and score 0; other columns are not read.
     """
-    anchor_words = sorted({w for a in [*index.anchors, index.base_anchors] for w, _ in a})
+    anchor_words = sorted({w for w, _ in [*index.anchors, *index.base_anchors]})
     words = F.regexp_extract_all(_lowered(docs[text_col]), F.lit(WORD), F.lit(0))
     # One-row generators keep an array computed once from being recomputed inside lambdas.
     rows = docs.select(docs[id_col].alias("id"), F.explode(F.array(words)).alias("words"))

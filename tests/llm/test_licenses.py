@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from llm_data import words
 
 from marketlake.llm import licenses
@@ -55,3 +56,46 @@ def test_rows_repeat_and_tables_may_be_empty(spark, make_docs):
     assert [r.n_base for r in licenses.scan(docs, licenses.build_index(docs)).collect()] == [1, 1, 1]
     empty = make_docs([])
     assert licenses.scan(empty, licenses.build_index(empty)).count() == 0
+
+
+def plain_labels(text, weights):
+    """(labels, score) by trying every notice at every place."""
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    labels, best = set(), 0.0
+    for phrase, label in licenses.BASE.items():
+        p = phrase.split()
+        if any(w[k: k + len(p)] == p for k in range(len(w))):
+            labels.add(label)
+            best = 1.0
+    for label, notice, key in licenses.TEMPLATES:
+        t, p = notice.split(), key.split()
+        at = next(k for k in range(len(t)) if t[k: k + len(p)] == p)
+        for start in range(-len(t), len(w)):
+            if start + at >= 0 and w[start + at: start + at + len(p)] == p:
+                there = sum(weights[x] for k, x in enumerate(t) if 0 <= start + k < len(w) and w[start + k] == x)
+                share = there / sum(weights[x] for x in t)
+                if share >= licenses.LEAST_SHARE:
+                    labels.add(label)
+                    best = max(best, min(share, 1.0))
+    return ",".join(sorted(labels)), best
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_labels_and_score_equal_a_scan_of_every_place(spark, make_docs, seed):
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(150):
+        w = rng.choices(licenses.vocabulary() + ["other", "words", "here"], k=rng.randint(0, 12))
+        for _ in range(rng.randint(0, 2)):
+            t = rng.choice(licenses.TEMPLATES)[1].split()
+            for _ in range(rng.randint(0, len(t) // 2)):
+                t[rng.randrange(len(t))] = rng.choice(["x", "the", "license"])
+            w += t[rng.randint(0, 2):]
+        texts.append(" ".join(w))
+    # A notice whose rarest words were all changed, in a corpus where they are frequent elsewhere.
+    texts += ["licensed under the apache license version 2 0"] * 40 + ["available by the apache license version 2 0"] * 10
+    docs = make_docs([(k, t, "s") for k, t in enumerate(texts)])
+    index = licenses.build_index(docs)
+    for r in licenses.scan(docs, index).collect():
+        labels, score = plain_labels(texts[r.doc_id], index.weights)
+        assert (r.labels, round(r.score, 9)) == (labels, round(score, 9)), texts[r.doc_id]
