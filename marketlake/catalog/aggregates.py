@@ -16,6 +16,7 @@ from marketlake.operators.profile import (
 )
 from marketlake.operators.quantiles import exact_quantiles
 from marketlake.operators.series import daily_counts, date_spine, describe_counts
+from marketlake.operators.sketches import daily_sketches, distinct_in_ranges
 from marketlake.operators.tree import child_counts
 
 # Every column of the derived records and when it is NULL.
@@ -47,6 +48,24 @@ def a2(spark, sf):
     return events(spark, sf).agg(n_rows("rows_cnt"), F.count_distinct("user_id").alias("unique_id_cnt"))
 
 
+@query("a2_distinct_by_week", """with d as (select *, cast(ts as date) as day from events),
+w as (select unnest(generate_series(min(day), max(day), interval 7 day))::date as first_day from d)
+select first_day, (first_day + 6)::date as last_day, count(distinct value) as exact_cnt, true as within_5_percent
+from w left join d on day between first_day and first_day + 6 group by first_day""")
+def a2_weeks(spark, sf):
+    """Distinct values of every week from daily sketches, beside the exact count."""
+    days = events(spark, sf).withColumn("day", F.to_date("ts"))
+    span = days.agg(F.min("day").alias("low"), F.max("day").alias("high")).filter("low is not null")
+    ranges = span.select(F.explode(F.expr("sequence(low, high, interval 7 days)")).alias("first_day")).withColumn(
+        "last_day", F.date_add("first_day", 6))
+    marked = days.withColumn("mark", F.col("value").cast("string"))  # sketches take text, not doubles
+    found = distinct_in_ranges(daily_sketches(marked, F.col("day"), "mark"), ranges)
+    inside = ranges.withColumn("day", F.explode(F.sequence("first_day", "last_day")))
+    exact = inside.join(days, "day", "left").groupBy("first_day").agg(F.count_distinct("value").alias("exact_cnt"))
+    near = F.abs(F.col("estimate") - F.col("exact_cnt")) <= 0.05 * F.col("exact_cnt")
+    return found.join(exact, "first_day").select("first_day", "last_day", "exact_cnt", near.alias("within_5_percent"))
+
+
 @query("a3_duplicate_share", """select l_shipdate, count(l_orderkey) as total_id_cnt,
   count(distinct l_orderkey) as unique_id_cnt,
   round((count(l_orderkey) - count(distinct l_orderkey)) / count(l_orderkey) * 100, 2)

@@ -10,7 +10,7 @@ from marketlake.operators.joins import keep_members, look_up
 from marketlake.operators.dedup import most_repeated_key
 from marketlake.operators.topk import random_rows, stable_sample, tail
 from marketlake.plans.historical import Dump, to_canonical
-from marketlake.sources.contract import DEPRECATED_COLUMNS
+from marketlake.sources.contract import DEPRECATED_COLUMNS, VACANCY
 
 CUSTOMER_DUMP = Dump("customer", ";", "yyyy-MM-dd",
                      {"vacancy_id": "c_custkey", "vacancy_name": "c_name",
@@ -127,13 +127,32 @@ def p13(spark, sf):
 
 
 @query("p14_deprecated_columns", f"""with {VAC}
-select url, schedule_id, salary_from from vac""")
+select url, schedule_id, salary_from,
+ case when event_id % 7 > 0 then ['full', 'part', 'project'][cast(event_id % 3 + 1 as int)] end as employment_id,
+ case when event_id % 5 > 0 then 'd' || (event_id % 3) end as working_days_ids,
+ case when event_id % 4 > 0 then 'i' || (event_id % 6) || ',i6' else '' end as working_time_intervals_ids,
+ 'm' || (user_id % 4) as working_time_modes_ids from vac""")
 def p14(spark, sf):
-    vac = vacancies(spark, sf)
-    old = [c for c in DEPRECATED_COLUMNS if c in vac.columns]
-    return vac.select("url", *old).select(
-        "url", F.col("schedule.id").alias("schedule_id"),
-        F.col("salary.from").alias("salary_from"))
+    """All declared deprecated columns, as the contract reads them from JSON lines that hold them."""
+    def items(*ids):
+        return F.array(*[F.struct(i.alias("id"), F.lit("name").alias("name")) for i in ids])
+
+    event = F.col("event_id")
+    kind = F.element_at(F.array(F.lit("full"), F.lit("part"), F.lit("project")), (event % 3 + 1).cast("int"))
+    own = vacancies(spark, sf).join(events(spark, sf).select("event_id", "user_id"), "event_id").withColumns({
+        "employment": F.when(event % 7 > 0, F.struct(kind.alias("id"), F.lit("name").alias("name"))),
+        "working_days": F.when(event % 5 > 0, items(F.concat(F.lit("d"), event % 3))),
+        "working_time_intervals": F.when(event % 4 > 0, items(F.concat(F.lit("i"), event % 6), F.lit("i6")))
+        .otherwise(F.array().cast("array<struct<id:string,name:string>>")),
+        "working_time_modes": items(F.concat(F.lit("m"), F.col("user_id") % 4)),
+    })
+    lines = own.select(F.to_json(F.struct(*[c for c in own.columns if c not in ("event_id", "ts", "user_id")])).alias("line"))
+    record = T.StructType([f for f in VACANCY if f.name in ("url", *DEPRECATED_COLUMNS)])
+    read = lines.select(F.from_json("line", record).alias("r")).select("r.url", *[f"r.{c}" for c in DEPRECATED_COLUMNS])
+    return read.select(
+        "url", F.col("schedule.id").alias("schedule_id"), F.col("salary.from").alias("salary_from"),
+        F.col("employment.id").alias("employment_id"),
+        *[F.array_join(f"{c}.id", ",").alias(f"{c}_ids") for c in DEPRECATED_COLUMNS if c.startswith("working_")])
 
 
 @query("p15_head_tail", """select 'head' as part, * from (select * from events order by ts, event_id limit 1000)
