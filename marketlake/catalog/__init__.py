@@ -7,6 +7,7 @@ from marketlake.catalog import (  # noqa: F401
     projections,
     quality,
     relations,
+    salaries,
     scalars,
     scans,
     similar,

@@ -85,7 +85,7 @@ def cooccurrence(rows: DataFrame, group: str, item: str, least_share: float, lea
         (F.col("a") < F.col("b")) & (F.least("n_a", "n_b") >= F.lit(least_share) * F.greatest("n_a", "n_b") - 1e-9))
     pairs, pairs_path = written_table(met.select("a", "b", "n_a", "n_b").distinct(), "pairs")
     # Exact weights from blocks of groups, whose lists have a bound.
-    blocks = postings.join(_numbers(held), "group").groupBy(
+    blocks = postings.join(dense_numbers(held), "group").groupBy(
         "item", F.shiftright("number", BLOCK_BITS).alias("block")).agg(F.collect_list("number").alias("groups"))
     blocks, blocks_path = written_table(blocks, "blocks")
     left = pairs.join(blocks.select(F.col("item").alias("a"), "block", F.col("groups").alias("groups_a")), "a")
@@ -100,7 +100,7 @@ def cooccurrence(rows: DataFrame, group: str, item: str, least_share: float, lea
     return edges
 
 
-def _numbers(held: DataFrame) -> DataFrame:
+def dense_numbers(held: DataFrame) -> DataFrame:
     """(group, number): groups counted from 0 by range partitions, so that a block has a bound."""
     groups, _ = written_table(held.select("group").distinct(), "groups")
     tasks = max(1, -(-groups.count() // 1_000_000))
