@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.session import materialize
 from marketlake.llm.text import ALNUM, Chunk, filter_rows, ngrams, small_batches, text_chunks
 
 SEED_WORDS = 3
@@ -30,8 +31,12 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 #: Words of all items of a block, on average; bounds what is sent to a task.
 BLOCK_WORDS = 1_000_000
-#: Alignments computed side by side.
-BATCH = 256
+#: Longest piece of a passage, in item lengths.  An alignment with a positive score covers
+#: at most three item lengths, by which pieces overlap, so none is lost between two pieces.
+PIECE, OVERLAP = 12, 3
+#: Words that stand side by side in one alignment step, and places expanded at a time;
+#: both bound a task's memory whatever the length of a text.
+BATCH_WORDS, BATCH_PLACES = 1_000_000, 1_000_000
 
 
 @dataclass
@@ -180,52 +185,113 @@ def align(passages: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarr
     return best, end
 
 
-def _candidates(block: Block, words: np.ndarray, seed: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """(doc, item, from, to) word ranges around seeds; ranges that overlap are one."""
-    counts = np.diff(block.first)[seed]
-    at = np.repeat(block.first[seed], counts) + np.arange(counts.sum()) - np.repeat(
-        np.cumsum(counts) - counts, counts)
-    place = np.repeat(place, counts)
+def _merged(doc: np.ndarray, item: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """(doc, item, from, to) of word ranges, of which those that overlap are one."""
+    order = np.lexsort((begin, item, doc))
+    doc, item, begin, stop = doc[order], item[order], begin[order], stop[order]
+    if not len(doc):
+        return np.zeros((0, 4), np.int64)
+    pair = np.zeros(len(doc), np.int64)
+    pair[1:] = np.cumsum((doc[1:] != doc[:-1]) | (item[1:] != item[:-1]))
+    # The furthest end so far inside each pair: pairs ascend, so one running maximum does.
+    step = int(stop.max()) + 1
+    reach = np.maximum.accumulate(pair * step + stop) - pair * step
+    new = np.ones(len(doc), bool)
+    new[1:] = (pair[1:] != pair[:-1]) | (begin[1:] >= reach[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(doc)) - 1
+    return np.column_stack([doc[first], item[first], begin[first], reach[last]])
+
+
+def _ranges(block: Block, sizes: np.ndarray, words: np.ndarray, at: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Merged word ranges around seeds: ``at`` is the seed's place in the benchmark."""
     item = block.place_item[at]
     doc = np.searchsorted(words, place, "right") - 1
-    size = np.array([len(w) for w in block.words])[item]
-    slack = size // 4 + 2
+    slack = sizes[item] // 4 + 2
     begin = np.maximum(place - block.place_pos[at] - slack, words[doc])
-    stop = np.minimum(place - block.place_pos[at] + size + slack, words[doc + 1])
-    order = np.lexsort((begin, item, doc))
-    doc, item, begin, stop = doc[order], item[order], begin[order], stop[order]
-    out: list[list[int]] = []
-    for d, i, x, y in zip(doc.tolist(), item.tolist(), begin.tolist(), stop.tolist()):
-        if out and out[-1][0] == d and out[-1][1] == i and x < out[-1][3]:
-            out[-1][3] = max(out[-1][3], y)
-        else:
-            out.append([d, i, x, y])
-    return np.array(out, np.int64).reshape(-1, 4)
+    stop = np.minimum(place - block.place_pos[at] + sizes[item] + slack, words[doc + 1])
+    return _merged(doc, item, begin, stop)
+
+
+def _candidates(block: Block, words: np.ndarray, seed: np.ndarray, place: np.ndarray) -> Iterator[np.ndarray]:
+    """(doc, item, from, to) word ranges around seeds, all ranges of a pair in one array.
+
+    A seed stands for all its places in the benchmark.  Items are taken in groups, and the
+    places of a group in slices, of about ``BATCH_PLACES``; ranges of slices are merged.
+    """
+    sizes = np.array([len(w) for w in block.words], np.int64)
+    seed_of = np.repeat(np.arange(len(block.seeds)), np.diff(block.first))
+    order = np.argsort(seed, kind="stable")
+    seed, place = seed[order], place[order]
+    begin, end = np.searchsorted(seed, seed_of), np.searchsorted(seed, seed_of, "right")
+    hits = end - begin
+    load = np.cumsum(np.bincount(block.place_item, weights=hits, minlength=len(sizes)))
+    group = (np.maximum(load - 1, 0) // BATCH_PLACES).astype(np.int64)[block.place_item]
+    used = np.flatnonzero(hits)
+    for g in np.unique(group[used]):
+        mine = used[group[used] == g]
+        upto = np.cumsum(hits[mine])
+        parts = []
+        for low in range(0, int(upto[-1]), BATCH_PLACES):
+            k = np.arange(low, min(low + BATCH_PLACES, int(upto[-1])))
+            j = np.searchsorted(upto, k, "right")
+            at = mine[j]
+            parts.append(_ranges(block, sizes, words, at, place[end[at] - (upto[j] - k)]))
+        yield _merged(*np.concatenate(parts).T) if len(parts) > 1 else parts[0]
+
+
+def _pieces(ranges: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ranges, long ones cut into overlapping pieces, pieces of like length together."""
+    item = ranges[:, 1]
+    length, step = ranges[:, 3] - ranges[:, 2], (PIECE - OVERLAP) * sizes[item]
+    count = np.maximum(-(-(length - OVERLAP * sizes[item]) // step), 1)
+    out = np.repeat(ranges, count, axis=0)
+    k = np.arange(len(out)) - np.repeat(np.cumsum(count) - count, count)
+    out[:, 2] += k * np.repeat(step, count)
+    out[:, 3] = np.minimum(out[:, 3], out[:, 2] + PIECE * np.repeat(sizes[item], count))
+    return out[np.argsort(out[:, 3] - out[:, 2], kind="stable")]
+
+
+def _batches(pieces: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Runs of pieces that, padded to the longest, stay within ``BATCH_WORDS`` (or one piece)."""
+    length, wide = (pieces[:, 3] - pieces[:, 2]).tolist(), sizes[pieces[:, 1]].tolist()
+    low, widest = 0, 0
+    for k in range(len(pieces)):
+        if k > low and (k - low + 1) * (length[k] + 4 * max(widest, wide[k])) > BATCH_WORDS:
+            yield pieces[low:k]
+            low, widest = k, 0
+        widest = max(widest, wide[k])
+    if len(pieces):
+        yield pieces[low:]
 
 
 def find(block: Block, maybe: np.ndarray, chunk: Chunk, threshold: float) -> list[tuple]:
-    """(doc, item, score, first word, end word) of every aligned pair of the chunk, best place each."""
+    """(doc, item, score, first word, end word) of every aligned pair of the chunk, best place each.
+
+    Of places with the same score the one that ends first counts.  Memory follows the words
+    of the chunk and the two batch bounds, not the number of items that a text repeats.
+    """
     hashes, words, seed, place = _seed_hits(block, maybe, chunk)
     if not len(seed):
         return []
-    ranges = _candidates(block, words, seed, place)
-    # Passages of like length stand together, so padding is small.
-    ranges = ranges[np.argsort(ranges[:, 3] - ranges[:, 2], kind="stable")]
+    sizes = np.array([len(w) for w in block.words], np.int64)
     best: dict[tuple, tuple] = {}
-    for k in range(0, len(ranges), BATCH):
-        part = ranges[k: k + BATCH]
-        passages = [hashes[x:y] for _, _, x, y in part]
-        items = [block.words[i] for i in part[:, 1]]
-        scores, ends = align(passages, items)
-        share = scores / np.array([MATCH * len(w) for w in items])
-        for j in np.flatnonzero(share >= threshold):
-            d, i, x, _ = part[j].tolist()
-            upto = passages[j][: ends[j]]
-            _, back = align([upto[::-1]], [items[j][::-1]])
-            found = (float(share[j]), int(x - words[d] + ends[j] - back[0]), int(x - words[d] + ends[j]))
-            if (d, i) not in best or (-found[0], found[1]) < (-best[d, i][0], best[d, i][1]):
-                best[d, i] = found
-    return [(d, i, *found) for (d, i), found in sorted(best.items())]
+    for ranges in _candidates(block, words, seed, place):
+        for part in _batches(_pieces(ranges, sizes), sizes):
+            passages = [hashes[x:y] for _, _, x, y in part]
+            items = [block.words[i] for i in part[:, 1]]
+            scores, ends = align(passages, items)
+            share = scores / (MATCH * sizes[part[:, 1]])
+            for j in np.flatnonzero(share >= threshold):
+                d, i, x, _ = part[j].tolist()
+                rank = (-float(share[j]), int(x - words[d] + ends[j]))
+                if (d, i) not in best or rank < best[d, i][0]:
+                    best[d, i] = rank, passages[j][: ends[j]]
+    out = []
+    for (d, i), ((score, end), upto) in sorted(best.items(), key=lambda kv: kv[0]):
+        _, back = align([upto[::-1]], [block.words[i][::-1]])
+        out.append((d, i, -score, end - int(back[0]), end))
+    return out
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
@@ -235,6 +301,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     Words are runs of digits, letters and non-ASCII characters in lower case, counted
     from 0; ``end_word`` is exclusive.  Null and empty texts match nothing; repeated rows
     give repeated pairs, and of an item's places in a document the best, then first, counts.
+    A very long text is aligned in pieces, with the same result.  The pairs of a block are
+    written before the next block is built, so the driver holds one block at a time.
     """
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -242,7 +310,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     small_batches(docs.sparkSession)
     parts = []
     for block in _rare_blocks(docs, benchmark, text_col):
-        parts.append(docs.select(id_col, text_col).mapInArrow(_pairs(block, threshold, id_col), schema))
+        pairs = docs.select(id_col, text_col).mapInArrow(_pairs(block, threshold, id_col), schema)
+        parts.append(materialize(pairs, "leaked_pairs"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

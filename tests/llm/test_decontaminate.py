@@ -109,3 +109,52 @@ def test_short_items_nulls_and_empty_tables(spark, make_docs):
     assert decontaminate.contaminated(make_docs([]), bench).count() == 0
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
     assert decontaminate.without_contaminated(docs, bench.limit(0)).count() == 6
+
+
+def found_in(texts, items):
+    chunks = list(decontaminate.text_chunks(decontaminate.pa.array(texts, decontaminate.pa.string()), lower="unicode"))
+    hashed = []
+    for chunk in decontaminate.text_chunks(decontaminate.pa.array(items, decontaminate.pa.string()), lower="unicode"):
+        h, edges = decontaminate._hashes(chunk)
+        hashed += [h[a:b] for a, b in zip(edges[:-1], edges[1:])]
+    block = decontaminate._build(list(range(len(items))), hashed)
+    return {(c.first_row + d, i): (score, end) for c in chunks
+            for d, i, score, _, end in decontaminate.find(block, block.bitmap(), c, decontaminate.THRESHOLD)}
+
+
+def test_passages_in_pieces_and_small_batches_equal_whole_ones(monkeypatch):
+    """Texts that repeat parts of items many times, so that passages are many items long; ties between places."""
+    monkeypatch.setattr(decontaminate, "BATCH_PLACES", 7)
+    monkeypatch.setattr(decontaminate, "BATCH_WORDS", 300)
+    rng = random.Random(3)
+    items = [words(k, 6 + k) for k in range(5)] + ["a a a a a a b"]
+    texts = []
+    for k in range(25):
+        parts = []
+        for _ in range(rng.randrange(1, 30)):
+            t = rng.choice(items).split()
+            a = rng.randrange(len(t) - 3)
+            parts += t[a: a + rng.randrange(3, len(t))] + words(rng.randrange(99), rng.randrange(3)).split()
+        texts.append(" ".join(parts))
+    expected = {}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(items):
+            score, end = plain_score(text.split(), item.split())
+            if score >= decontaminate.THRESHOLD * 2 * len(item.split()):
+                expected[d, i] = (score / (2 * len(item.split())), end)
+    assert len(expected) > 40 and found_in(texts, items) == expected
+
+
+def test_a_very_long_text_of_one_shared_phrase_takes_bounded_memory():
+    """200 000 words of a phrase that 30 items share; the whole passages would be 30 x 200 000 words."""
+    import tracemalloc
+
+    phrase = words(1, 13)
+    items = [f"{phrase} {words(50 + k, 30)}" for k in range(30)] + [phrase]
+    text = " ".join([phrase] * 15_400)
+    tracemalloc.start()
+    found = found_in([text], items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == {(0, 30): (1.0, 13)}
+    assert peak < 400e6
