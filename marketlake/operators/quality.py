@@ -26,8 +26,13 @@ def drift_report(lines: DataFrame, schema: T.StructType) -> DataFrame:
 
     Every line is read, none are sampled.
     """
-    seen = line_keys(lines).groupBy("column").agg(F.count(F.lit(1)).alias("line_cnt"))
-    declared = contract_names(lines, schema).withColumn("_declared", F.lit(True))
+    return drift_of_keys(line_keys(lines), schema)
+
+
+def drift_of_keys(keys: DataFrame, schema: T.StructType) -> DataFrame:
+    """The same report from a frame with a row per line and key, in ``column``."""
+    seen = keys.groupBy("column").agg(F.count(F.lit(1)).alias("line_cnt"))
+    declared = contract_names(keys, schema).withColumn("_declared", F.lit(True))
     return seen.join(declared, "column", "full_outer").select(
         "column",
         F.when(F.col("_declared").isNull(), "new")
@@ -84,12 +89,20 @@ def column_presence(lines: DataFrame, column: str, by: Column, by_name: str) ->
 
 def batch_metrics(df: DataFrame, nullable: str, ts: str) -> DataFrame:
     """Rows, NULL share of one column, first and last time of a batch."""
-    return df.agg(
+    return df.agg(*metric_columns(nullable, ts))
+
+
+def metric_columns(nullable: str, ts: str) -> list[Column]:
+    """The aggregates of ``batch_metrics``, to be computed by a scan or during a write.
+
+    Without rows the share is NULL.
+    """
+    return [
         F.count(F.lit(1)).alias("row_count"),
-        (F.count_if(F.col(nullable).isNull()) / F.count(F.lit(1))).alias(f"{nullable}_null_rate"),
+        F.try_divide(F.count_if(F.col(nullable).isNull()), F.count(F.lit(1))).alias(f"{nullable}_null_rate"),
         F.min(ts).alias("min_date"),
         F.max(ts).alias("max_date"),
-    )
+    ]
 
 
 def null_rate_history(df: DataFrame, columns: list[str], day: Column,

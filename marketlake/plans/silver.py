@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.times import local_time, offset_minutes_of_text, utc_of_text
 from marketlake.operators.dedup import keep_any, keep_latest, row_hash
-from marketlake.operators.quality import batch_metrics, drift_report
-from marketlake.session import discard, written_table
+from marketlake.operators.quality import drift_of_keys, metric_columns
+from marketlake.session import discard, observed_table
 from marketlake.sinks.writers import merge_days, with_day_keys, write_ledger
 from marketlake.sources.contract import VACANCY
-from marketlake.sources.jsonl import quarantine, scan_jsonl, scan_lines
+from marketlake.sources.jsonl import parsed_lines, scan_jsonl, scan_lines
 
 TIME_COLUMNS = ("published_at", "created_at")
 
@@ -75,24 +75,38 @@ def silver_run(spark: SparkSession, bronze_path: str, silver_path: str, ledger_p
     with a field less, and why), ``drift`` (columns that are new or missing) and
     ``metrics`` (one row; the lines read are those rejected and those kept).  A re-run of
     ``run`` replaces its own entries and changes nothing else.
+
+    The raw lines are read and parsed once, into a written table that everything else is
+    taken from; counts and metrics are observed while tables are written.  A line that holds
+    a list is a broken one.  A batch without usable lines leaves silver as it is, with
+    metrics of no rows.
     """
-    lines = scan_lines(spark, bronze_path)
-    write_ledger(quarantine(lines), f"{ledger_path}/quarantine", run)
-    drift = drift_report(lines, VACANCY).filter("status <> 'known'")
-    write_ledger(drift, f"{ledger_path}/drift", run)
-    rows, rows_path = written_table(
-        with_day_keys(clean(scan_jsonl(spark, bronze_path), tie_break), "published_at_utc"), "batch")
+    lines = parsed_lines(scan_lines(spark, bronze_path))
+    rejected = F.col("reason").isNotNull()
+    parsed, parsed_path, counts = observed_table(
+        lines.withColumns({c: F.when(rejected, F.col(c)) for c in ("value", "file_path")}), "parsed", [
+            F.count(F.lit(1)).alias("lines_read"),
+            F.count_if(F.col("reason").isin("broken_line", "no_key")).alias("lines_rejected"),
+            F.count_if(F.col("reason") == "bad_field").alias("lines_with_bad_field"),
+        ])
+    write_ledger(parsed.filter(rejected).select("value", "file_path", "reason"), f"{ledger_path}/quarantine", run)
+    keys = parsed.select(F.explode(F.array_distinct("keys")).alias("column"))
+    write_ledger(drift_of_keys(keys, VACANCY).filter("status <> 'known'"), f"{ledger_path}/drift", run)
+    batch = with_day_keys(clean(parsed.select("record.*"), tie_break), "published_at_utc")
+    rows, rows_path, metrics = observed_table(batch, "batch", silver_metric_columns())
     merge_days(rows, silver_path, "id", latest_first(tie_break), is_table=True)
-    rejected = spark.read.schema("reason string").json(f"{ledger_path}/quarantine/run={run}")
-    n_rows = F.count(F.lit(1))
-    metrics = silver_metrics(rows).withColumns({
-        "lines_read": lines.agg(n_rows).scalar(),
-        "lines_rejected": rejected.filter("reason in ('broken_line', 'no_key')").agg(n_rows).scalar(),
-        "lines_with_bad_field": rejected.filter("reason = 'bad_field'").agg(n_rows).scalar(),
-    }).withColumn("lines_kept", F.col("lines_read") - F.col("lines_rejected"))
-    write_ledger(metrics, f"{ledger_path}/metrics", run)
-    discard(spark, rows_path)
+    values = {**counts, "lines_kept": counts["lines_read"] - counts["lines_rejected"], **metrics}
+    types = {f.name: f.dataType for f in silver_metrics(rows).schema}
+    write_ledger(spark.range(1).select(*[
+        F.lit(v).cast(types.get(c, "bigint")).alias(c) for c, v in values.items()
+    ]), f"{ledger_path}/metrics", run)
+    for scratch in (parsed_path, rows_path):
+        discard(spark, scratch)
+
+
+def silver_metric_columns() -> list[Column]:
+    return metric_columns("salary", "published_at_utc")
 
 
 def silver_metrics(silver: DataFrame) -> DataFrame:
-    return batch_metrics(silver, "salary", "published_at_utc")
+    return silver.agg(*silver_metric_columns())

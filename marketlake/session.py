@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings every job of this package expects.  All of them can be given to
 # spark-submit instead; nothing here names a machine, bucket or secret.
@@ -60,6 +60,17 @@ def written_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def observed_table(df: DataFrame, label: str, metrics: list[Column]) -> tuple[DataFrame, str, dict]:
+    """``written_table``, and aggregates of its rows that are computed while they are written.
+
+    The metrics belong to the stage that writes, where Spark counts each task once, so a
+    repeated task changes nothing and the rows are not read again.
+    """
+    path, seen = scratch_path(df.sparkSession, label), Observation()
+    df.observe(seen, *metrics).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path, seen.get
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a table that several later steps read, and read it back.
 
@@ -69,7 +80,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return written_table(df, label)[0]
 
 
+def _on_storage(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _on_storage(spark, path)
+    return files.exists(where)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that no later step reads."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    files, where = _on_storage(spark, path)
+    files.delete(where, True)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from marketlake.operators.dedup import keep_latest, row_hash
-from marketlake.session import discard, written_table
+from marketlake.session import discard, path_exists, written_table
 
 DAY_KEYS = ("year", "month", "day")
 
@@ -69,12 +68,9 @@ def overwrite_days(df: DataFrame, path: str, keys: tuple[str, ...] = DAY_KEYS) -
 
 def _stored(df: DataFrame, path: str) -> DataFrame | None:
     """The stored table with the columns of ``df``; None if nothing is at ``path`` yet."""
-    try:
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(df.sparkSession, path):
         return None
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _rows_of_days(stored: DataFrame, touched: DataFrame) -> DataFrame:

@@ -74,27 +74,40 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
 
 
-def quarantine(lines: DataFrame, key: str = "id", schema: T.StructType = VACANCY) -> DataFrame:
-    """Lines a contract scan could not take over whole, with the reason.
+def parsed_lines(lines: DataFrame, key: str = "id", schema: T.StructType = VACANCY) -> DataFrame:
+    """Every line parsed once: (value, file_path, keys, reason, record).
 
+    ``keys`` are the top-level keys, NULL where the line is no JSON object.  ``reason``
+    says what a contract scan cannot take over whole, and is NULL for a good line.
     ``broken_line``: not a JSON object.  ``no_key``: parsed, but the key is NULL, so
     silver drops it.  ``bad_field``: kept in silver with at least one field NULLed.
-    Good lines are not returned.
+    ``record`` holds the contract columns, all NULL in a broken line.
     """
     parse_as = as_text(schema).add(BAD_RECORD, T.StringType())
-    rec = F.from_json("value", parse_as, {"columnNameOfCorruptRecord": BAD_RECORD})
-    # Exploding one element keeps the optimizer from repeating the parse in the filter.
-    parsed = lines.withColumn("rec", F.explode(F.array(rec)))
-    rec = F.col("rec")
+    both = F.struct(
+        F.from_json("value", parse_as, {"columnNameOfCorruptRecord": BAD_RECORD}).alias("rec"),
+        F.json_object_keys("value").alias("keys"),
+    )
+    # Exploding one element keeps the optimizer from repeating the parse for every use.
+    parsed = lines.withColumn("_e", F.explode(F.array(both))).select(*lines.columns, "_e.*")
+    rec, whole = F.col("rec"), F.col("keys").isNotNull()
     lost = lost_in_cast(rec, schema)
     bad_field = rec.getField(BAD_RECORD).isNotNull()
     if lost is not None:
         bad_field = bad_field | lost
     reason = (
-        F.when(F.json_object_keys("value").isNull(), "broken_line")
+        F.when(~whole, "broken_line")
         .when(rec.getField(key).isNull(), "no_key")
         .when(bad_field, "bad_field")
     )
-    return parsed.select("value", "file_path", reason.alias("reason")).filter(
+    record = F.struct(*[
+        F.when(whole, try_cast_leaves(rec.getField(f.name), f.dataType)).alias(f.name) for f in schema
+    ])
+    return parsed.select(*lines.columns, "keys", reason.alias("reason"), record.alias("record"))
+
+
+def quarantine(lines: DataFrame, key: str = "id", schema: T.StructType = VACANCY) -> DataFrame:
+    """(value, file_path, reason) of the lines ``parsed_lines`` gives a reason for."""
+    return parsed_lines(lines, key, schema).select("value", "file_path", "reason").filter(
         F.col("reason").isNotNull()
     )

@@ -150,6 +150,24 @@ def test_whole_job_keeps_a_ledger_and_can_be_run_again(spark, tmp_path):
     assert found[0][1:] == [[("bad_field", 1), ("broken_line", 1), ("no_key", 1)], [(5, 2, 3, 2)], [("extra", 1)]]
 
 
+def test_whole_job_without_usable_lines(spark, tmp_path):
+    """A list in a line, no usable line, a blank line, an empty file: silver and ledger agree."""
+    silver, ledger = str(tmp_path / "silver"), str(tmp_path / "ledger")
+    good = line("1", "2025-12-01T10:00:00+0000")
+    for run, lines in {"a": [good, f"[{line('9', '2025-12-01T10:00:00+0000')}]", "5"], "b": ["{bad"], "c": []}.items():
+        silver_run(spark, write(tmp_path / run, lines), silver, ledger, run)
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "part.jsonl").write_bytes(b"")
+    silver_run(spark, str(tmp_path / "d"), silver, ledger, "d")
+    metrics = spark.read.schema("lines_read bigint, lines_kept bigint, row_count bigint, "
+                                "salary_null_rate double, min_date timestamp_ntz, run string").json(f"{ledger}/metrics")
+    first = dt.datetime(2025, 12, 1, 10)
+    assert rows(metrics) == [
+        (0, 0, 0, None, None, "d"), (1, 0, 0, None, None, "b"), (1, 0, 0, None, None, "c"),
+        (3, 1, 1, 1.0, first, "a")]
+    assert [r["id"] for r in scan_partitioned(spark, silver).collect()] == ["1"]
+
+
 def test_a_run_that_finds_nothing_more_empties_its_ledger_entry(spark, tmp_path):
     from marketlake.sinks.writers import write_ledger
 
