@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.session import materialize
+from marketlake.session import discard, materialize, written_table
 from marketlake.llm.text import ALNUM, Chunk, filter_rows, ngrams, small_batches, text_chunks
 
 SEED_WORDS = 3
@@ -319,7 +319,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 
 
 def _rare_blocks(docs: DataFrame, benchmark: DataFrame, text_col: str) -> Iterator[Block]:
-    for block in blocks(benchmark):
+    for block in blocks(benchmark, block_words=BLOCK_WORDS):
         yield rare_only(block, *seed_counts(docs, block, text_col))
 
 
@@ -342,10 +342,21 @@ def _pairs(block: Block, threshold: float, id_col: str):
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame,
                          threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` that hold no benchmark item; all columns stay as they are."""
-    for block in _rare_blocks(docs, benchmark, "text"):
-        docs = filter_rows(docs, "text", _clean(block, threshold), lower="unicode")
-    return docs
+    """Rows of ``docs`` that hold no benchmark item; all columns stay as they are.
+
+    What a block leaves is written before the block after the next is built, so the driver
+    holds two blocks at most and no task runs more than one; a benchmark of one block, up to
+    ``BLOCK_WORDS``, writes nothing.  Of the written tables only the last is left.
+    """
+    spark, kept, written = docs.sparkSession, docs, None
+    for k, block in enumerate(_rare_blocks(docs, benchmark, "text")):
+        if k:
+            kept, path = written_table(kept, "clean_docs")
+            if written:
+                discard(spark, written)
+            written = path
+        kept = filter_rows(kept, "text", _clean(block, threshold), lower="unicode")
+    return kept
 
 
 def _clean(block: Block, threshold: float) -> Callable[[Chunk], np.ndarray]:

@@ -111,6 +111,20 @@ def test_short_items_nulls_and_empty_tables(spark, make_docs):
     assert decontaminate.without_contaminated(docs, bench.limit(0)).count() == 6
 
 
+def test_rows_kept_are_written_between_blocks(spark, make_docs, monkeypatch):
+    """Five blocks: the plan that is left holds one of them, and the rows are those of one block."""
+    bench = spark.createDataFrame([(k, words(k, 20)) for k in range(12)], "item_id long, text string")
+    rows = [(k, words(k, 20) if k < 12 else words(100 + k, 30), "s") for k in range(40)]
+    docs = make_docs([*rows, (None, None, "s"), (7, "", None)], extra=True)
+    whole = decontaminate.without_contaminated(docs, bench)
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 60)
+    kept = decontaminate.without_contaminated(docs, bench)
+    assert kept.columns == docs.columns and kept.exceptAll(whole).count() == 0 == whole.exceptAll(kept).count()
+    assert kept.count() == 30
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert all("clean_docs" in path for path in kept.inputFiles())
+
+
 def found_in(texts, items):
     chunks = list(decontaminate.text_chunks(decontaminate.pa.array(texts, decontaminate.pa.string()), lower="unicode"))
     hashed = []
