@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from marketlake.operators.joins import join_null_safe
 from marketlake.session import materialize
+from marketlake.llm.numbering import numbered, with_sums_before
 
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS, LEVEL_BITS = 60, 12
@@ -40,25 +41,21 @@ def targets(sized: DataFrame) -> DataFrame:
     goes to the others.  In order of cap by weight, the first source that the remaining
     share does not fill ends the capped ones, which is where resharing round by round ends.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    ranked = sources.withColumn("place", F.row_number().over(by_name))
-    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]),
-                          ((F.col("place") - 1) % len(WEIGHTS) + 1).cast("int"))
-    caps = ranked.select("source", "source_size", "place", weight.cast("long").alias("weight"),
+    by_name = sized.groupBy("source").agg(F.sum("size").alias("source_size")).select(
+        F.lit(0).alias("all"), F.col("source").isNull().alias("is_null"), "source", "source_size")
+    ranked = numbered(materialize(by_name, "sources"), "all", ["is_null", "source"])
+    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.col("pos") % len(WEIGHTS) + 1).cast("int"))
+    caps = ranked.select("source", "source_size", F.col("pos").alias("place"), weight.cast("long").alias("weight"),
                          (F.col("source_size") * MOST_COPIES).alias("cap"))
-    order = Window.orderBy(F.col("cap") / F.col("weight"), "place")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(F.lit(1)).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    left = caps.withColumns({
-        "rest": F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0)),
-        "weights": F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)),
-        "step": F.row_number().over(order),
-    }).withColumn("share", F.col("rest") / F.col("weights"))
-    open_ = F.col("cap") / F.col("weight") >= F.col("share")
-    first = F.min(F.when(open_, F.struct("step", "share"))).over(everything)
-    return left.withColumn("first", first).select(
+    caps = materialize(caps.withColumn("full", F.col("cap") / F.col("weight")), "caps")
+    total = caps.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight"))
+    left = materialize(
+        with_sums_before(caps, ["full", "place"], ["cap", "weight"])
+        .withColumn("share", (total.select("size").scalar() - F.col("cap_before"))
+                    / (total.select("weight").scalar() - F.col("weight_before"))), "shares")
+    # The first source in this order that the share does not fill; none if all are full.
+    first = left.filter(F.col("full") >= F.col("share")).agg(F.min(F.struct("step", "share")).alias("f"))
+    return left.withColumn("first", first.scalar()).select(
         "source", "source_size", "weight",
         F.when(F.col("first").isNull() | (F.col("step") < F.col("first.step")), F.col("cap").cast("double"))
         .otherwise(F.col("first.share") * F.col("weight")).alias("target"))

@@ -5,6 +5,8 @@ from llm_data import words
 from pyspark.sql import functions as F
 
 from marketlake.llm import mixing
+from marketlake.llm.numbering import with_sums_before
+from marketlake.session import materialize
 
 
 def plain_targets(sizes):
@@ -83,3 +85,25 @@ def test_nulls_repeats_and_extra_columns(spark, make_docs):
 def test_empty_table_and_no_words(spark, make_docs):
     assert mixing.mix(make_docs([], extra=True)).count() == 0
     assert [r.taken for r in mixing.mix(make_docs([(1, "", "s"), (2, None, None)])).collect()] == [0, 0]
+
+
+def test_sums_before_over_many_range_partitions(spark):
+    rng = random.Random(4)
+    rows = [(rng.randrange(6) / 2, k, rng.randrange(50)) for k in range(60)]
+    table = materialize(spark.createDataFrame(rows, "full double, place long, n long"), "rows")
+    found = with_sums_before(table, ["full", "place"], ["n"], rows_per_task=7)
+    assert found.columns == ["full", "place", "n", "step", "n_before"]
+    expected, before = [], 0
+    for step, row in enumerate(sorted(rows), 1):
+        expected.append((*row, step, before))
+        before += row[2]
+    assert sorted(tuple(r) for r in found.collect()) == expected
+
+
+def test_targets_of_many_sources(spark, make_docs):
+    sizes = {f"s{k:03d}": (k * 37) % 211 + 1 for k in range(120)}
+    docs = make_docs([(k, words(k, n), s) for k, (s, n) in enumerate(sizes.items())])
+    expected = plain_targets(sizes)
+    found = {r.source: r.target for r in mixing.targets(mixing.sized_rows(docs)).collect()}
+    assert found.keys() == expected.keys()
+    assert all(abs(found[s] - expected[s]) < 1e-6 for s in sizes)
