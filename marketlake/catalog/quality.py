@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from marketlake.catalog.base import VAC, bronze, query, vacancies
+from marketlake.catalog.base import VAC, bronze, events, query, vacancies, written
 from marketlake.operators.quality import (
     batch_metrics,
     column_counts,
@@ -20,9 +20,11 @@ from marketlake.plans.silver import (
     with_local_times,
     with_utc_and_offset,
 )
+from marketlake.sinks.writers import DAY_KEYS, overwrite_days, with_day_keys
 from marketlake.sources.contract import VACANCY
+from marketlake.sources.footers import column_changes, columns_per_parquet_file, parquet_footers
 from marketlake.sources.jsonl import scan_jsonl, scan_lines
-from marketlake.sources.tables import path_date
+from marketlake.sources.tables import path_date, path_parts_date
 
 # Keys of the derived records and when a record has them (NULL fields are left out).
 _ALWAYS = ["id", "name", "internship", "published_at", "created_at", "url", "employer", "area",
@@ -71,6 +73,49 @@ def q3(spark, sf):
     return column_counts(_by_date(_lines(spark, sf)))
 
 
+# Silver whose files change on the 15th of a month: ``event_type`` goes, ``kind`` and ``extra``
+# come, and ``value`` becomes a text.
+def _changing_silver(spark, sf):
+    def write(path):
+        rows = with_day_keys(events(spark, sf), "ts")
+        late = F.dayofmonth("ts") >= 15
+        overwrite_days(rows.filter(~late).select("event_id", "event_type", "value", *DAY_KEYS), path)
+        overwrite_days(rows.filter(late).select(
+            "event_id", F.col("event_type").alias("kind"), F.lit(1).alias("extra"),
+            F.col("value").cast("string").alias("value"), *DAY_KEYS), path)
+
+    return parquet_footers(spark, written(spark, sf, "changing_silver", write))
+
+
+def _joined(names):
+    return F.array_join(names, ",")
+
+
+@query("q3_silver_columns", """with d as (select ts::date as day, count(*) as row_cnt, day(any_value(ts)) >= 15 as late
+  from events group by 1),
+p as (select *, late and not coalesce(lag(late) over (order by day), late) as on_15th,
+  not late and coalesce(lag(late) over (order by day), late) as on_1st from d)
+select day, cast(row_cnt as bigint) as row_cnt, cast(case when late then 4 else 3 end as bigint) as column_cnt,
+  case when on_15th then 'extra,kind' when on_1st then 'event_type' else '' end as added,
+  case when on_15th then 'event_type' when on_1st then 'extra,kind' else '' end as dropped,
+  case when on_15th or on_1st then 'value' else '' end as retyped from p""")
+def q3_silver(spark, sf):
+    """Columns of the silver files a day, from their footers."""
+    changes = column_changes(_changing_silver(spark, sf), path_parts_date(F.col("file_path")), "day")
+    return changes.select("day", "row_cnt", "column_cnt", *[_joined(c).alias(c) for c in ("added", "dropped", "retyped")])
+
+
+@query("q3_silver_files", """select ts::date as day, cast(case when day(any_value(ts)) >= 15 then 4 else 3 end as bigint)
+  as column_cnt, count(*) as row_cnt, 'ZSTD' as codecs from events group by 1""")
+def q3_files(spark, sf):
+    """Column counts of the single silver files; all files of a day have the same."""
+    footers = _changing_silver(spark, sf)
+    files = columns_per_parquet_file(footers).join(
+        footers.select("file_path", _joined("codecs").alias("codecs")), "file_path")
+    return files.groupBy(path_parts_date(F.col("file_path")).alias("day"), "column_cnt", "codecs").agg(
+        F.sum("row_cnt").alias("row_cnt"))
+
+
 @query("q4_layer_difference", f"""select unnest(['extra', 'published_at', 'created_at']) as "column", 'left' as only_in
 union all select unnest([{", ".join(f"'{c}'" for c in [*_MISSING, "published_at_utc", "created_at_utc", "published_at_offset", "created_at_offset"])}]), 'right'""")
 def q4(spark, sf):
