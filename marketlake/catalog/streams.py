@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from marketlake.catalog.base import VAC, bronze, events, query, scratch_path, vacancies
+from marketlake.catalog.base import SQL, VAC, bronze, damaged_bronze, events, query, scratch_path, vacancies
 from marketlake.catalog.jobs import _DAYS, _FLAT, TIES, dated_records, flat_silver
-from marketlake.sources.jsonl import scan_jsonl_stream
+from marketlake.sources.jsonl import scan_jsonl_stream, scan_lines_stream
 from marketlake.sources.tables import scan_partitioned
 from marketlake.streaming.ingest import (
     late_rows,
@@ -14,6 +14,7 @@ from marketlake.streaming.ingest import (
     read_accounts,
     read_closed_windows,
     read_window_counts,
+    stream_run,
     stream_to_silver,
 )
 from marketlake.streaming.state import (
@@ -34,13 +35,46 @@ def _finish(stream_query):
 select {_FLAT}, {_DAYS} from vac qualify row_number() over
   (partition by id, cast(published_at_utc as date) order by published_at_utc desc, url) = 1""")
 def r1(spark, sf):
+    """Micro-batches logged, then merged once; the run's ledger is written beside."""
     path = scratch_path(spark, "r1")
-    records = scan_jsonl_stream(spark, bronze(spark, sf), max_files=15)
-    _finish(stream_to_silver(records, path, scratch_path(spark, "r1_state"), TIES))
+    lines = scan_lines_stream(spark, bronze(spark, sf), max_files=15)
+    stream_run(lines, path, *[scratch_path(spark, f"r1_{part}") for part in ("ledger", "log", "state")], TIES)
+    return _silver_with_days(spark, path)
+
+
+def _silver_with_days(spark, path):
     rows = scan_partitioned(spark, path)
     return flat_silver(rows).join(rows.select("url", "year", "month", "day"), "url")
 
 
+@query("r1_merge_each_batch", SQL["r1_stream_to_silver"])
+def r1_each(spark, sf):
+    """The same rows where every micro-batch is merged by itself."""
+    path = scratch_path(spark, "r1_each")
+    records = scan_jsonl_stream(spark, bronze(spark, sf), max_files=15)
+    _finish(stream_to_silver(records, path, scratch_path(spark, "r1_each_state"), TIES))
+    return _silver_with_days(spark, path)
+
+
+@query("r1_ledger", f"""{SQL["k7_quarantine_ledger"]}
+union all select 'lines_read', count(*) from events
+union all select 'new column extra', count(*) from events where event_id % 3 = 0 and event_id % 10 <> 0""")
+def r1_ledger(spark, sf):
+    """What the stream says about damaged lines, over several micro-batches and two runs."""
+    places = [scratch_path(spark, f"r1_{part}") for part in ("damaged", "bad_ledger", "bad_log", "bad_state")]
+    for _ in range(2):  # the second run finds no new files
+        stream_run(scan_lines_stream(spark, damaged_bronze(spark, sf), max_files=15), *places, TIES)
+    reasons = spark.read.schema("reason string").json(f"{places[1]}/quarantine")
+    metrics = spark.read.schema("lines_read bigint").json(f"{places[1]}/metrics")
+    drift = spark.read.schema("column string, status string, line_cnt bigint").json(f"{places[1]}/drift")
+    return (
+        reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("line_cnt"))
+        .unionByName(metrics.select(F.lit("lines_read").alias("reason"), F.col("lines_read").alias("line_cnt")))
+        .unionByName(drift.filter("status = 'new'").select(
+            F.concat(F.lit("new column "), "column").alias("reason"), "line_cnt"))
+    )
+
+
 @query("r2_first_seen", f"with {VAC} select distinct id from vac")
 def r2(spark, sf):
     path = scratch_path(spark, "r2")

@@ -81,18 +81,35 @@ def silver_run(spark: SparkSession, bronze_path: str, silver_path: str, ledger_p
     a list is a broken one.  A batch without usable lines leaves silver as it is, with
     metrics of no rows.
     """
-    lines = parsed_lines(scan_lines(spark, bronze_path))
+    lines = as_log(parsed_lines(scan_lines(spark, bronze_path)))
+    parsed, parsed_path, counts = observed_table(lines, "parsed", line_counts())
+    batch = with_day_keys(clean(parsed.select("record.*"), tie_break), "published_at_utc")
+    publish_parsed(parsed, counts, batch, silver_path, ledger_path, run, tie_break)
+    discard(spark, parsed_path)
+
+
+def as_log(parsed: DataFrame) -> DataFrame:
+    """``parsed_lines`` with the text and file of rejected lines only, to be written."""
     rejected = F.col("reason").isNotNull()
-    parsed, parsed_path, counts = observed_table(
-        lines.withColumns({c: F.when(rejected, F.col(c)) for c in ("value", "file_path")}), "parsed", [
-            F.count(F.lit(1)).alias("lines_read"),
-            F.count_if(F.col("reason").isin("broken_line", "no_key")).alias("lines_rejected"),
-            F.count_if(F.col("reason") == "bad_field").alias("lines_with_bad_field"),
-        ])
-    write_ledger(parsed.filter(rejected).select("value", "file_path", "reason"), f"{ledger_path}/quarantine", run)
+    return parsed.withColumns({c: F.when(rejected, F.col(c)) for c in ("value", "file_path")})
+
+
+def line_counts() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("lines_read"),
+        F.count_if(F.col("reason").isin("broken_line", "no_key")).alias("lines_rejected"),
+        F.count_if(F.col("reason") == "bad_field").alias("lines_with_bad_field"),
+    ]
+
+
+def publish_parsed(parsed: DataFrame, counts: dict, batch: DataFrame, silver_path: str, ledger_path: str,
+                   run: str, tie_break: list[str] | None = None) -> None:
+    """Merge the silver rows ``batch`` of a written table of parsed lines; write its ledger entries."""
+    spark = parsed.sparkSession
+    write_ledger(parsed.filter("reason is not null").select("value", "file_path", "reason"),
+                 f"{ledger_path}/quarantine", run)
     keys = parsed.select(F.explode(F.array_distinct("keys")).alias("column"))
     write_ledger(drift_of_keys(keys, VACANCY).filter("status <> 'known'"), f"{ledger_path}/drift", run)
-    batch = with_day_keys(clean(parsed.select("record.*"), tie_break), "published_at_utc")
     rows, rows_path, metrics = observed_table(batch, "batch", silver_metric_columns())
     merge_days(rows, silver_path, "id", latest_first(tie_break), is_table=True)
     values = {**counts, "lines_kept": counts["lines_read"] - counts["lines_rejected"], **metrics}
@@ -100,8 +117,7 @@ def silver_run(spark: SparkSession, bronze_path: str, silver_path: str, ledger_p
     write_ledger(spark.range(1).select(*[
         F.lit(v).cast(types.get(c, "bigint")).alias(c) for c, v in values.items()
     ]), f"{ledger_path}/metrics", run)
-    for scratch in (parsed_path, rows_path):
-        discard(spark, scratch)
+    discard(spark, rows_path)
 
 
 def silver_metric_columns() -> list[Column]:

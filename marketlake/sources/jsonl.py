@@ -74,6 +74,14 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
 
 
+def scan_lines_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
+    """The same over a folder that keeps receiving files."""
+    return (
+        spark.readStream.option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", "true")
+        .text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
+    )
+
+
 def parsed_lines(lines: DataFrame, key: str = "id", schema: T.StructType = VACANCY) -> DataFrame:
     """Every line parsed once: (value, file_path, keys, reason, record).
 

@@ -7,8 +7,8 @@ import time
 
 import pytest
 from conftest import rows
-from marketlake.plans.silver import bronze_to_silver
-from marketlake.sources.jsonl import scan_jsonl_stream
+from marketlake.plans.silver import bronze_to_silver, publish_parsed
+from marketlake.sources.jsonl import scan_jsonl_stream, scan_lines_stream
 from marketlake.sources.tables import scan_partitioned
 from marketlake.streaming.ingest import (
     append_to_parquet,
@@ -20,6 +20,7 @@ from marketlake.streaming.ingest import (
     read_closed_windows,
     read_window_counts,
     rows_dropped_late,
+    stream_run,
     stream_to_silver,
     window_counts,
 )
@@ -54,6 +55,49 @@ def test_stream_equals_batch_and_continues(spark, tmp_path):
     assert got == {("1", "new", 1), ("2", "n", 1), ("4", "n", 1), ("3", "n", 2)}
 
 
+def test_logged_batches_are_merged_once_and_resume(spark, tmp_path, monkeypatch):
+    path = bronze(tmp_path)
+    places = [str(tmp_path / p) for p in ("out", "ledger", "log", "state")]
+
+    def run():
+        stream_run(scan_lines_stream(spark, path, max_files=1), *places)
+
+    def ledger(kind, *cols):
+        return rows(spark.read.json(f"{places[1]}/{kind}").select(*cols))
+
+    merges = []
+    monkeypatch.setattr("marketlake.streaming.ingest.publish_parsed",
+                        lambda *args: (merges.append(args[5]), publish_parsed(*args)))
+    run()
+    assert merges == ["batch-0"] and not os.path.exists(places[2])
+    assert {(r["id"], r["name"], r["day"]) for r in scan_partitioned(spark, places[0]).collect()} == {
+        ("1", "new", 1), ("2", "n", 1), ("3", "n", 2)}
+    assert ledger("quarantine", "value", "reason") == [("{bad", "broken_line")]
+    assert ledger("metrics", "lines_read", "lines_kept", "row_count") == [(5, 4, 3)]
+    run()  # no new file, nothing to merge
+    assert merges == ["batch-0"]
+
+    # A run that dies before its note is taken again under the same name, with what came since.
+    write(tmp_path / "in", [line("4", "2025-12-01T09:00:00+0000"), "[1]"], "date=2025-12-03/p3.jsonl.gz")
+
+    def die(*args):
+        publish_parsed(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr("marketlake.streaming.ingest.publish_parsed", die)
+    with pytest.raises(RuntimeError):
+        run()
+    monkeypatch.setattr("marketlake.streaming.ingest.publish_parsed", publish_parsed)
+    write(tmp_path / "in", [line("5", "2025-12-03T09:00:00+0000"), line(None, "2025-12-03T09:00:00+0000")],
+          "date=2025-12-04/p4.jsonl.gz")
+    run()
+    assert sorted(r["id"] for r in scan_partitioned(spark, places[0]).collect()) == ["1", "2", "3", "4", "5"]
+    assert ledger("quarantine", "run", "reason") == [
+        ("batch-0", "broken_line"), ("batch-2", "broken_line"), ("batch-2", "no_key")]
+    assert ledger("metrics", "run", "lines_read") == [("batch-0", 5), ("batch-2", 4)]
+    assert ledger("merged", "last_batch") == [(1,), (3,)]
+
+
 def test_first_seen_drops_repeats_across_files(spark, tmp_path):
     records = scan_jsonl_stream(spark, bronze(tmp_path), max_files=1).select("id", "published_at")
     out = str(tmp_path / "seen")
