@@ -35,10 +35,9 @@ def _finish(stream_query):
 select {_FLAT}, {_DAYS} from vac qualify row_number() over
   (partition by id, cast(published_at_utc as date) order by published_at_utc desc, url) = 1""")
 def r1(spark, sf):
-    """Micro-batches logged, then merged once; the run's ledger is written beside."""
     path = scratch_path(spark, "r1")
-    lines = scan_lines_stream(spark, bronze(spark, sf), max_files=15)
-    stream_run(lines, path, *[scratch_path(spark, f"r1_{part}") for part in ("ledger", "log", "state")], TIES)
+    records = scan_jsonl_stream(spark, bronze(spark, sf), max_files=15)
+    _finish(stream_to_silver(records, path, scratch_path(spark, "r1_state"), TIES))
     return _silver_with_days(spark, path)
 
 
@@ -47,12 +46,12 @@ def _silver_with_days(spark, path):
     return flat_silver(rows).join(rows.select("url", "year", "month", "day"), "url")
 
 
-@query("r1_merge_each_batch", SQL["r1_stream_to_silver"])
-def r1_each(spark, sf):
-    """The same rows where every micro-batch is merged by itself."""
-    path = scratch_path(spark, "r1_each")
-    records = scan_jsonl_stream(spark, bronze(spark, sf), max_files=15)
-    _finish(stream_to_silver(records, path, scratch_path(spark, "r1_each_state"), TIES))
+@query("r1_logged_run", SQL["r1_stream_to_silver"])
+def r1_logged(spark, sf):
+    """The same rows with micro-batches logged, one merge at the end and the ledger of the run."""
+    path = scratch_path(spark, "r1_logged")
+    lines = scan_lines_stream(spark, bronze(spark, sf), max_files=15)
+    stream_run(lines, path, *[scratch_path(spark, f"r1_{part}") for part in ("ledger", "log", "state")], TIES)
     return _silver_with_days(spark, path)
 
 
