@@ -268,6 +268,15 @@ def c4_list_values(spark, sf):
     return _profile(spark, sf, "list_values")
 
 
+@query("c4_role_values", f"""{_S}, v as (select '[' || array_to_string(list_transform(role_ids,
+    lambda r: '{{"id":"' || r || '","name":"Role ' || r[2:] || '"}}'), ',') || ']' as value,
+  cast(len(role_ids) as bigint) as len, count(*) as cnt from s group by role_ids)
+select 'professional_roles' as "column", value, len, cnt from v order by cnt desc, value limit 10""")
+def c4_role_values(spark, sf):
+    """The ten most frequent values of a list column that is filled, of 21."""
+    return list_reports(scan_partitioned(spark, silver(spark, sf)), ["professional_roles"])
+
+
 @query("c4_role_lengths", f"""{_S}, n as (select len(role_ids) as n from s)
 select min(n) as min_len, max(n) as max_len, round(avg(n), 6) as avg_len, quantile_cont(n, 0.5) as median_len from n""")
 def c4_role_lengths(spark, sf):
