@@ -107,19 +107,33 @@ VAC = """vac as (
 )"""
 
 
+def _vacancies_of(ev: DataFrame) -> DataFrame:
+    off = "case event_id % 3 when 0 then '+0300' when 1 then '+0000' else '-0330' end as off"
+    return ev.selectExpr("*", off).selectExpr("event_id", "ts", *_VACANCY_EXPRS)
+
+
 def vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vacancy records plus ``event_id`` and ``ts`` of the event they came from."""
-    off = "case event_id % 3 when 0 then '+0300' when 1 then '+0000' else '-0330' end as off"
-    return (
-        events(spark, sf_dir)
-        .selectExpr("*", off)
-        .selectExpr("event_id", "ts", *_VACANCY_EXPRS)
-    )
+    return _vacancies_of(events(spark, sf_dir))
+
+
+#: Lines of one task that writes them, on average.  It sorts them by the folder they go to, in memory.
+LINES_PER_TASK = 100_000
+
+
+def _by_day(ev: DataFrame) -> DataFrame:
+    """The events in ranges of days of a bounded number of rows; a day may take several.
+
+    A line is many times as long as its event, so events are spread before they become lines.
+    """
+    tasks = max(1, -(-ev.count() // LINES_PER_TASK))
+    # A seeded draw per row parts the rows of a day, whatever their ids.
+    return ev.repartitionByRange(tasks, F.to_date("ts"), F.rand(0))
 
 
 def vacancy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(event_id, date, value): JSON lines with the date of the file they belong to."""
-    vac = vacancies(spark, sf_dir)
+    vac = _vacancies_of(_by_day(events(spark, sf_dir)))
     record = F.struct(*[c for c in vac.columns if c not in ("event_id", "ts")])
     return vac.select(
         "event_id", F.date_format("ts", "yyyy-MM-dd").alias("date"),
@@ -154,10 +168,11 @@ def written(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str],
     return _WRITTEN[key]
 
 
-def _write_lines(lines: DataFrame) -> Callable[[str], None]:
+def _write_lines(lines: Callable[[SparkSession, str], DataFrame], spark: SparkSession,
+                 sf_dir: str) -> Callable[[str], None]:
     def write(path: str) -> None:
         (
-            lines.select("date", "value").write.partitionBy("date")
+            lines(spark, sf_dir).select("date", "value").write.partitionBy("date")
             .option("compression", "gzip").option("maxRecordsPerFile", 10_000).text(path)
         )
 
@@ -166,8 +181,8 @@ def _write_lines(lines: DataFrame) -> Callable[[str], None]:
 
 def bronze(spark: SparkSession, sf_dir: str) -> str:
     """Folder of gz JSON lines under ``date=YYYY-MM-DD/``."""
-    return written(spark, sf_dir, "bronze", _write_lines(vacancy_lines(spark, sf_dir)))
+    return written(spark, sf_dir, "bronze", _write_lines(vacancy_lines, spark, sf_dir))
 
 
 def damaged_bronze(spark: SparkSession, sf_dir: str) -> str:
-    return written(spark, sf_dir, "damaged", _write_lines(damaged_lines(spark, sf_dir)))
+    return written(spark, sf_dir, "damaged", _write_lines(damaged_lines, spark, sf_dir))
