@@ -10,6 +10,8 @@ from marketlake.session import materialize
 
 _PER_UNIT = 256
 _FINE = 65_536
+#: Values of one range partition, on average at most.
+VALUES_PER_TASK = 500_000
 
 
 def _coarse(value: Column) -> Column:
@@ -56,7 +58,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     ``method`` is ``linear`` (interpolated) or ``nearest`` (the element at rank
     ``round(q * (n - 1))``).  Ranks are located by narrowing: a coarse histogram of
     all values, a fine one inside the buckets that hold a wanted rank, then the
-    values of those sub-buckets.  Each pass scans the columns once and shuffles only
+    different values of those sub-buckets, which may be most of a column whose numbers
+    lie close together: range partitions cut them, and only those that hold a wanted
+    rank are sorted, each on its own.  Each pass scans the columns once and shuffles only
     counts, so neither the number of rows nor one very frequent value is collected in
     a task.  The located ranks, at most two per column and probability, are written
     between passes.
@@ -103,20 +107,34 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     wanted2 = materialize(
         level2.join(wanted1, ["column", "k1"])
         .filter((F.col("before") <= F.col("r1")) & (F.col("r1") < F.col("upto")))
-        .select("column", "k1", "k2", "prob", "share", "rank",
+        .select("column", "k1", "k2", "n", "prob", "share", "rank",
                 (F.col("r1") - F.col("before")).alias("r2")),
         "quantile_ranks",
     )
     within2 = within1.join(F.broadcast(wanted2), ["column", "k1", "k2"], "left_semi")
 
     # Equal doubles may differ as decimals, so the last ranks are by both.
-    level3 = _bucket_holding(
-        within2.groupBy("column", "k1", "k2", "v", "x").agg(n_rows).withColumn("vx", F.struct("v", "x")),
-        ["column", "k1", "k2"], "vx",
+    inside = ["column", "k1", "k2"]
+    rows = wanted2.select(*inside, "n").distinct().agg(F.sum("n")).first()[0] or 0
+    spread = materialize(
+        within2.groupBy(*inside, "v", "x").agg(n_rows)
+        .repartitionByRange(max(1, -(-rows // VALUES_PER_TASK)), *inside, "v", "x")
+        .withColumn("part", F.spark_partition_id()),
+        "quantile_values",
     )
-    found = (
-        level3.join(wanted2, ["column", "k1", "k2"])
+    level3 = _bucket_holding(spread.groupBy(*inside, "part").agg(F.sum("n").alias("n")), inside, "part")
+    wanted3 = materialize(
+        level3.join(wanted2.drop("n"), inside)
         .filter((F.col("before") <= F.col("r2")) & (F.col("r2") < F.col("upto")))
+        .select(*inside, "part", "prob", "share", "rank", (F.col("r2") - F.col("before")).alias("r3")),
+        "quantile_ranks",
+    )
+    inside = [*inside, "part"]
+    level4 = _bucket_holding(
+        spread.join(F.broadcast(wanted3), inside, "left_semi").withColumn("vx", F.struct("v", "x")), inside, "vx")
+    found = (
+        level4.join(wanted3, inside)
+        .filter((F.col("before") <= F.col("r3")) & (F.col("r3") < F.col("upto")))
         .groupBy("column", "prob")
         .agg(F.min("vx").alias("low"), F.max("vx").alias("high"), F.first("share").alias("share"))
     )
