@@ -87,7 +87,7 @@ def merge_days(df: DataFrame, path: str, key: str, order: list[Column],
                is_table: bool = False) -> None:
     """Upsert rows into day partitions, keeping the first row of a key in ``order``.
 
-    ``df`` holds one row per key and day.  Late rows belong to days that earlier runs
+    ``df`` holds one row per key and day where nothing is stored yet.  Late rows belong to days that earlier runs
     wrote, so the stored rows of the days touched by ``df`` are merged in before those
     days are replaced.  The merged days go to a staging table first: a job must not
     read the files it overwrites, and the staged copy lets a run that died half-way

@@ -17,31 +17,54 @@ from marketlake.sources.jsonl import parsed_lines
 def stream_to_silver(records: DataFrame, silver_path: str, checkpoint: str,
                      tie_break: list[str] | None = None,
                      ledger_path: str | None = None) -> StreamingQuery:
-    """Type every micro-batch of new files and merge it into the silver days.
+    """Bring all new files of a stream into the silver days; returns the finished query.
 
     Silver ends with the newest version of each id in each publication day, however
-    the files were split into micro-batches.  The merge is idempotent, so a batch
-    replayed after a failure changes nothing; late rows go to the day they were
-    published.  With a ``ledger_path`` every micro-batch writes how many lines it read
+    the files were split into micro-batches; late rows go to the day they were published.
+    A micro-batch writes its typed rows under the checkpoint, in a folder that a replay
+    replaces.  Whenever the micro-batches of this checkpoint have doubled, and when no
+    file is left, the written ones are merged into the days they touch and deleted, so a row
+    of silver is written again a bounded number of times on average, not once a micro-batch.
+    The merge is idempotent: what a run leaves that dies, the next one merges, with or
+    without new files.  With a ``ledger_path`` every micro-batch writes how many lines it read
     and how many had no id (broken lines have none), which silver leaves out.
     """
+    spark = records.sparkSession
+    waiting = f"{checkpoint}/to_merge"
+
+    def typed(batch: DataFrame) -> DataFrame:
+        return with_day_keys(enrich(batch), "published_at_utc")
+
+    schema = typed(records).schema
+
+    def merge() -> None:
+        rows = spark.read.schema(schema).parquet(f"{waiting}/batch=*")
+        order = latest_first(tie_break)
+        if not path_exists(spark, silver_path):
+            rows = keep_latest(rows, ["id", *DAY_KEYS], [*order, row_hash(rows).desc()])
+        # With stored days the merge itself keeps the newest row, so it takes all versions.
+        merge_days(rows, silver_path, "id", order, is_table=True)
+        discard(spark, waiting)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         if ledger_path:
             counts = batch.agg(F.count(F.lit(1)).alias("lines_read"),
                                F.count_if(F.col("id").isNull()).alias("lines_without_id"))
             write_ledger(counts, ledger_path, f"batch-{batch_id}")
-        rows = with_day_keys(enrich(batch), "published_at_utc")
-        order = latest_first(tie_break)
-        newest = keep_latest(rows, ["id", *DAY_KEYS], [*order, row_hash(rows).desc()])
-        merge_days(newest, silver_path, "id", order)
+        typed(batch).write.mode("overwrite").option("compression", "zstd").parquet(f"{waiting}/batch={batch_id}")
+        if (batch_id + 1).bit_count() == 1:  # 1, 2, 4, 8, ... micro-batches so far
+            merge()
 
-    return (
+    query = (
         records.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+    if path_exists(spark, waiting):
+        merge()
+    return query
 
 
 def stream_run(lines: DataFrame, silver_path: str, ledger_path: str, log_path: str, checkpoint: str,

@@ -7,6 +7,7 @@ import time
 
 import pytest
 from conftest import rows
+from marketlake.streaming import ingest
 from marketlake.plans.silver import bronze_to_silver, publish_parsed
 from marketlake.sources.jsonl import scan_jsonl_stream, scan_lines_stream
 from marketlake.sources.tables import scan_partitioned
@@ -203,3 +204,36 @@ def test_ids_later_than_any_delay_are_first_seen_once(spark, tmp_path):
     for checkpoint in ("state", "state", "replay"):
         publish_first_seen(stream(), out, str(tmp_path / checkpoint)).awaitTermination()
         assert rows(spark.read.parquet(out).select("id")) == [("1",), ("2",), ("late",), (None,)]
+
+
+def test_days_are_rewritten_when_micro_batches_have_doubled(spark, tmp_path, monkeypatch):
+    """Eleven micro-batches into one day: five merges, and one more that died takes what was left."""
+    merges, plain = [], ingest.merge_days
+
+    def merge(*args, **kwargs):
+        merges.append(1)
+        plain(*args, **kwargs)
+
+    monkeypatch.setattr(ingest, "merge_days", merge)
+    for k in range(11):
+        write(tmp_path / "in", [line("1", f"2025-12-01T{k:02}:00:00+0000", f"v{k}"),
+                                line(f"x{k}", "2025-12-01T10:00:00+0000")], f"date=2025-12-01/p{k:02}.jsonl.gz")
+    path, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run():
+        return stream_to_silver(scan_jsonl_stream(spark, path, max_files=1), out, state)
+
+    run().awaitTermination()
+    assert len(merges) == 5  # after 1, 2, 4 and 8 micro-batches and at the end
+    assert {(r["id"], r["name"]) for r in spark.read.parquet(out).collect()} == {
+        ("1", "v10"), *((f"x{k}", "n") for k in range(11))}
+
+    # The last merge of a run is lost; the next run has no new file and merges what is left.
+    write(tmp_path / "in", [line("1", "2025-12-01T11:00:00+0000", "v11")], "date=2025-12-01/p11.jsonl.gz")
+    monkeypatch.setattr(ingest, "merge_days", lambda *args, **kwargs: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run()
+    monkeypatch.setattr(ingest, "merge_days", merge)
+    run()
+    assert [r["name"] for r in spark.read.parquet(out).filter("id = '1'").collect()] == ["v11"]
+    assert not os.path.exists(f"{state}/to_merge")
