@@ -60,14 +60,17 @@ def written_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def observed_table(df: DataFrame, label: str, metrics: list[Column]) -> tuple[DataFrame, str, dict]:
+def observed_table(df: DataFrame, label: str, metrics: list[Column],
+                   rows_per_file: int = 0) -> tuple[DataFrame, str, dict]:
     """``written_table``, and aggregates of its rows that are computed while they are written.
 
+    A file has at most ``rows_per_file`` rows, if that is given.
+
     The metrics belong to the stage that writes, where Spark counts each task once, so a
     repeated task changes nothing and the rows are not read again.
     """
     path, seen = scratch_path(df.sparkSession, label), Observation()
-    df.observe(seen, *metrics).write.parquet(path)
+    df.observe(seen, *metrics).write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path, seen.get
 
 

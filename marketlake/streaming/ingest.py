@@ -9,10 +9,14 @@ from pyspark.sql.streaming import StreamingQuery
 from marketlake.functions.times import utc_of_text
 from marketlake.operators.dedup import keep_latest, row_hash
 from marketlake.plans.silver import as_log, enrich, latest_first, line_counts, publish_parsed
-from marketlake.session import discard, path_exists
+from marketlake.session import discard, observed_table, path_exists
 from marketlake.sinks.writers import DAY_KEYS, merge_days, with_day_keys, write_ledger
 from marketlake.sources.jsonl import parsed_lines
 
+#: Rows of a file of parsed lines.  A record is many times as large in memory as in a file, and
+#: Spark takes a bounded number of files into a task, so small ones bound the rows that it sorts.
+PARSED_ROWS = 20_000
+
 
 def stream_to_silver(records: DataFrame, silver_path: str, checkpoint: str,
                      tie_break: list[str] | None = None,
@@ -71,10 +75,10 @@ def stream_run(lines: DataFrame, silver_path: str, ledger_path: str, log_path: s
                tie_break: list[str] | None = None) -> None:
     """Take all new files of a stream of raw lines into silver, with the ledger of ``silver_run``.
 
-    A micro-batch only appends its parsed lines to ``log_path``, in a folder that a replay
-    replaces.  When the stream has no more files, one merge brings the logged batches into
-    the silver days they touch, so the days are rewritten once a run and not once a
-    micro-batch; silver ends as with ``stream_to_silver``, the newest version of an id in each day.
+    A micro-batch only appends its lines to ``log_path``, in a folder that a replay
+    replaces.  When the stream has no more files, the logged lines are parsed once, by all
+    tasks and with one plan and not one a micro-batch, and one merge brings them into the silver
+    days they touch; silver ends as with ``stream_to_silver``, the newest version of an id in each day.
     Quarantine, drift and metrics have an entry a run, named after its first batch.
 
     ``merged`` in the ledger notes the last batch that silver has, and the log is deleted
@@ -85,8 +89,7 @@ def stream_run(lines: DataFrame, silver_path: str, ledger_path: str, log_path: s
     spark = lines.sparkSession
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        as_log(parsed_lines(batch)).write.mode("overwrite").option("compression", "zstd").parquet(
-            f"{log_path}/batch={batch_id}")
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{log_path}/batch={batch_id}")
 
     query = (
         lines.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
@@ -100,17 +103,18 @@ def stream_run(lines: DataFrame, silver_path: str, ledger_path: str, log_path: s
     if path_exists(spark, marks):
         last = spark.read.schema("last_batch bigint").json(marks).agg(F.max("last_batch")).first()[0]
         done = -1 if last is None else last
-    schema = as_log(parsed_lines(spark.createDataFrame([], "value string, file_path string"))).schema
-    log = spark.read.schema(schema.add("batch", "long")).option("basePath", log_path).parquet(log_path)
-    log = log.filter(F.col("batch") > done)
-    counts = log.agg(*line_counts(), F.max("batch").alias("last_batch")).first().asDict()
+    log = spark.read.schema("value string, file_path string, batch long").option("basePath", log_path).parquet(log_path)
+    parsed, parsed_path, counts = observed_table(
+        as_log(parsed_lines(log.filter(F.col("batch") > done))), "parsed",
+        [*line_counts(), F.max("batch").alias("last_batch")], rows_per_file=PARSED_ROWS)
     last = counts.pop("last_batch")
     if last is not None:
-        rows = with_day_keys(enrich(log.select("record.*")), "published_at_utc")
+        rows = with_day_keys(enrich(parsed.select("record.*")), "published_at_utc")
         newest = keep_latest(rows, ["id", *DAY_KEYS], [*latest_first(tie_break), row_hash(rows).desc()])
         run = f"batch-{done + 1}"
-        publish_parsed(log, counts, newest, silver_path, ledger_path, run, tie_break)
+        publish_parsed(parsed, counts, newest, silver_path, ledger_path, run, tie_break)
         write_ledger(spark.range(1).select(F.lit(last).cast("bigint").alias("last_batch")), marks, run)
+    discard(spark, parsed_path)
     discard(spark, log_path)
 
 

@@ -237,3 +237,15 @@ def test_days_are_rewritten_when_micro_batches_have_doubled(spark, tmp_path, mon
     run()
     assert [r["name"] for r in spark.read.parquet(out).filter("id = '1'").collect()] == ["v11"]
     assert not os.path.exists(f"{state}/to_merge")
+
+
+def test_lines_of_a_run_are_parsed_once_for_all_micro_batches(spark, tmp_path, monkeypatch):
+    path = bronze(tmp_path)
+    places = [str(tmp_path / p) for p in ("out", "ledger", "log", "state")]
+    parses, plain = [], ingest.parsed_lines
+    monkeypatch.setattr(ingest, "parsed_lines", lambda *args: parses.append(args[0].isStreaming) or plain(*args))
+    stream_run(scan_lines_stream(spark, path, max_files=1), *places)
+    assert len(parses) == 1
+    assert {(r["id"], r["name"]) for r in spark.read.parquet(places[0]).collect()} == {
+        ("1", "new"), ("2", "n"), ("3", "n")}
+    assert rows(spark.read.json(f"{places[1]}/merged").select("last_batch")) == [(1,)]
