@@ -310,8 +310,6 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
                    F.collect_list(F.when(F.col("crosses"), F.col("gram"))).alias("crossing")), "lists")
     windows = (lists.agg(F.sum(F.size("crossing"))).first()[0] or 0) * (length - GRAM + 1)
     buckets = max(1, -(-windows // MERGE_ROWS))
-    # What the anchors were found by goes before the texts are shuffled.
-    drop_shuffles(spark)
 
     long_texts = plain.filter(F.col("n_bytes") >= length).select(
         "id", "key", "text", F.rand(11).alias("spread"))
