@@ -109,3 +109,14 @@ def test_suffix_array_and_common_prefixes(seed):
         while n < min(len(suffix[a]), len(suffix[b]), 40) and suffix[a][n] == suffix[b][n]:
             n += 1
         assert shared[b] == n
+
+
+def test_passage_of_over_50_words_below_the_length(spark, make_docs):
+    """A repeated passage of 51 words stays where it is shorter than the windows, and goes where it is not."""
+    passage = " ".join(f"wo{k:03}" for k in range(51))
+    assert len(passage) == 305
+    texts = [f"{words(100 + k, 60)} {passage} {words(200 + k, 60)}" for k in range(4)] + [words(300, 120)]
+    df = make_docs([(k, t, "s") for k, t in enumerate(texts)])
+    assert [r[2] for r in found(df)] == [0] * 5
+    assert found(df, 256) == expected(range(5), texts, 256)
+    assert [r[2] >= 305 for r in found(df, 256)] == [True] * 4 + [False]
