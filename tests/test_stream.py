@@ -7,6 +7,7 @@ import time
 
 import pytest
 from conftest import rows
+from marketlake.catalog import QUERIES
 from marketlake.streaming import ingest
 from marketlake.plans.silver import bronze_to_silver, publish_parsed
 from marketlake.sources.jsonl import scan_jsonl_stream, scan_lines_stream
@@ -249,3 +250,21 @@ def test_lines_of_a_run_are_parsed_once_for_all_micro_batches(spark, tmp_path, m
     assert {(r["id"], r["name"]) for r in spark.read.parquet(places[0]).collect()} == {
         ("1", "new"), ("2", "n"), ("3", "n")}
     assert rows(spark.read.json(f"{places[1]}/merged").select("last_batch")) == [(1,)]
+
+
+@pytest.mark.parametrize("name", ["r1_stream_to_silver", "r1_logged_run"])
+def test_days_of_silver_are_joined_without_a_broadcast(spark, tmp_path, name):
+    """A row that comes twice, a later version, a late row of another day; a row without a url has no partner."""
+    at = lambda day, hour: dt.datetime(2025, 12, day, hour)
+    events = [(1, at(1, 10), 7), (1, at(1, 10), 7), (4, at(1, 11), 7), (7, at(2, 11), 7), (10, at(1, 9), 8),
+              (None, at(3, 9), 9)]
+    spark.createDataFrame([(e, t, u, "click", 1.5, "{}") for e, t, u in events],
+                          "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+                          ).write.parquet(str(tmp_path / "events.parquet"))
+    result = QUERIES[name](spark, str(tmp_path))
+    assert rows(result.select("id", "url", "year", "month", "day")) == [
+        ("7", "v/4", 2025, 12, 1), ("7", "v/7", 2025, 12, 2), ("8", "v/10", 2025, 12, 1)]
+    # However small the files are, no side is gathered by the driver.
+    result.collect()
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
